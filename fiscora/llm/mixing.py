@@ -57,7 +57,7 @@ def source_targets(totals: DataFrame, weights: list[float], share: float, most:
 
 
 def mix_sources(
-    docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", range_rows: int = 20_000
+    docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", range_rows: int = 4096
 ) -> DataFrame:
     """(id, size, source_size, target, taken) of every row; taken counts words, repeats included."""
     sized = materialise(

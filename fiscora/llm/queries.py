@@ -5,15 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import credential_scan, html_main
 from .common import table
 from .mixing import mix_sources
+from .topk import top_k
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credential_scan.digest(table(spark, sf_dir, "documents"))
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), weights=[5, 2, 1])
 
 
+def op10_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
