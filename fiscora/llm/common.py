@@ -171,3 +171,42 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield a + r, mix(window_hashes(words[lo:hi], int(hi - lo), BASES[0]) + np.uint64(hi - lo))
             else:
                 yield a + r, np.zeros(0, np.uint64)
+
+_letter: np.ndarray | None = None
+
+
+def letters() -> np.ndarray:
+    """Which code points are letters, as str.isalpha has it."""
+    global _letter
+    if _letter is None:
+        _letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    return _letter
+
+
+def letter_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased code points of the texts, starts and ends of their runs of letters, and each text's first run (with the end)."""
+    low = [(t or "").lower() for t in texts]
+    code = np.frombuffer(("\n".join(low) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    is_letter = letters()[code]
+    edge = np.diff(np.concatenate([[False], is_letter, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    offs = np.concatenate([[0], np.cumsum([len(t) + 1 for t in low])])
+    return code, starts, ends, np.searchsorted(starts, offs)
+
+
+def run_hashes(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of code points; long runs wrap round the position table."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    spans = ends - starts
+    total = np.cumsum(spans)
+    place = np.arange(total[-1]) - np.repeat(total - spans, spans)
+    at = place + np.repeat(starts, spans)
+    part = mix(code[at].astype(np.uint64) + np.uint64(0x1000)) * _PLACE[place & (LONG_WORD - 1)]
+    return mix(np.add.reduceat(part, total - spans) + spans.astype(np.uint64))
+
+
+def row_slices(batch: pa.RecordBatch, text_at: int, chars: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `chars` bytes of text (one longer text is a slice of its own)."""
+    for a, b, _, _ in text_chunks(batch.column(text_at), chars):
+        yield batch.slice(a, b - a)

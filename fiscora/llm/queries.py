@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credential_scan, html_main
+from . import credential_scan, decontam, html_main, langid, toxicity, warc
 from .common import table
 from .mixing import mix_sources
 from .topk import top_k
@@ -17,14 +17,32 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credential_scan.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    found = langid.identify(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), weights=[5, 2, 1])
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract_main(table(spark, sf_dir, "pages"))
 
