@@ -58,13 +58,18 @@ class Ordinal:
         return _sigmoid(s[:, None] - self.cuts[None, :])
 
 
-def fit(owner: np.ndarray, row: np.ndarray, value: np.ndarray, grade: np.ndarray, rounds: int = 200, l2: float = 1e-4, rate: float = 0.05, least_rows: int = 5) -> Ordinal:
+def fit(owner: np.ndarray, row: np.ndarray, value: np.ndarray, grade: np.ndarray, rounds: int = 200, l2: float = 1e-3, rate: float = 0.05, least_rows: int = 5) -> Ordinal:
     """Maximum likelihood by Adam over the features that least_rows rows or more have."""
     seen = np.bincount(row, minlength=TABLE)
     keep = seen[row] >= least_rows
     owner, value = owner[keep], value[keep]
     used, col = np.unique(row[keep], return_inverse=True)
     n, levels = len(grade), int(grade.max())
+    # a feature's value is scaled by its log-odds of being toxic, so that the few telling ones need little weight
+    toxic = (grade > 0).astype(float)
+    yes, no = np.bincount(col, toxic[owner], len(used)), np.bincount(col, 1 - toxic[owner], len(used))
+    odds = np.log((yes + 0.5) / (toxic.sum() + 1)) - np.log((no + 0.5) / (n - toxic.sum() + 1))
+    value = value * odds[col]
     share = np.array([(grade > k).mean() for k in range(levels)])
     cuts = np.log((1 - share) / share)
     params = np.concatenate([np.zeros(len(used)), cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-2))])
@@ -89,7 +94,7 @@ def fit(owner: np.ndarray, row: np.ndarray, value: np.ndarray, grade: np.ndarray
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         params += rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
     weights = np.zeros(TABLE)
-    weights[used] = params[: len(used)]
+    weights[used] = params[: len(used)] * odds
     return Ordinal(weights, params[len(used)] + np.concatenate([[0.0], np.cumsum(np.exp(params[len(used) + 1 :]))]))
 
 
