@@ -82,7 +82,9 @@ def leaks(
     )
     totals = spots.groupBy("_item").agg(F.countDistinct("_h").alias("_total"), F.max("_slots").alias("_any"))
     wanted = _small(materialise(spots.select("_item", "_h").distinct(), "leak-windows"), broadcast_rows)
-    held = docs.select(F.col(id_col).alias("_doc"), F.explode(windows(template_words(F.col(text_col)), k)).alias("_w"))
+    # the words are a column of their own: inside the windows' lambda they would be made anew for each window
+    words = docs.select(F.col(id_col).alias("_doc"), template_words(F.col(text_col)).alias("_dt"))
+    held = words.select("_doc", F.explode(windows(F.col("_dt"), k)).alias("_w"))
     hits = held.join(wanted, F.col("_w") == F.col("_h")).groupBy("_doc", "_item").agg(F.countDistinct("_h").alias("_matched"))
     pairs = materialise(
         hits.join(totals, "_item").filter(F.col("_doc").isNotNull() & (F.col("_matched") >= F.lit(share) * F.col("_total"))), "leak-pairs"
