@@ -130,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int, levels: int, id_c
     return fit(owner, row, value, grades(owner, row, value, (y > 0).astype(np.int64), levels))
 
 
-def score(docs: DataFrame, labels: DataFrame, train_rows: int = 8000, levels: int = 3, cut: float = 0.5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, train_rows: int = 5000, levels: int = 3, cut: float = 0.5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(id, expected_severity, grade, toxic) of every row: toxic where P(grade > 0) is `cut` or more."""
     model = train(docs, labels, train_rows, levels, id_col, text_col, label_col)
     if model:
