@@ -56,6 +56,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, most: int = 32 << 20) -> None:
+    """Arrow batches are cut by bytes too, so that very long texts do not fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 def sample_share(df: DataFrame, id_col: str, bound: int) -> DataFrame:
     """About `bound` rows at most, chosen by a hash of the id: the same rows in every run."""
     n = df.count()

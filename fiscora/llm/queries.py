@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import credential_scan, decontam, html_main, langid, substring, toxicity, warc
+from . import credential_scan, decontam, html_main, jaccard, langid, substring, toxicity, warc
 from .common import table
 from .mixing import mix_sources
 from .topk import top_k
@@ -31,6 +31,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
