@@ -51,10 +51,10 @@ def duplicate_members(df: DataFrame, columns: list[str], row: str, fold_text: bo
     return work.withColumn("first_row", F.min(row).over(by)).withColumn("n", F.count("*").over(by)).filter("n > 1").drop("_key")
 
 
-def incomplete_keys(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Populated rows with a blank in the key."""
+def incomplete_keys(df: DataFrame, columns: list[str], data: list[str] | None = None) -> DataFrame:
+    """Rows with a blank in the key that are populated in the columns `data` (all of them by default)."""
     keys = typed_keys(df, columns)
-    return populated(df).filter(reduce(or_, [k["kind"] == "blank" for k in keys]))
+    return populated(df, data).filter(reduce(or_, [k["kind"] == "blank" for k in keys]))
 
 
 def header_collisions(labels: list[str]) -> dict[str, list[int]]:
@@ -148,7 +148,7 @@ def audit_table(df: DataFrame, name: str, row: str, config: dict, headers: list[
             facts[sort] = [{"key": dict(zip(keys, [k["value"] for k in r["key"]])), "first_row": r["first_row"], "n": r["n"]} for r in groups.filter(flag).orderBy("first_row").limit(limit).collect()]
         if counts.get(False):
             issues.append(f"{counts[False]} unexpected duplicate business-key group(s)")
-        tables["incomplete"] = incomplete_keys(df.select(*data, row), key_cols)
+        tables["incomplete"] = incomplete_keys(df, key_cols, data)
         facts["incomplete_key_row_count"] = tables["incomplete"].count()
         if need_complete and facts["incomplete_key_row_count"]:
             issues.append(f"{facts['incomplete_key_row_count']} populated row(s) have incomplete business keys")
