@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text hashed at a time (one longer text is a chunk of its own).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: Longer words are hashed by blake2b instead of the position table.
 LONG_WORD = 1024
 
@@ -56,7 +56,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, most: int = 32 << 20) -> None:
+def bounded_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """Arrow batches are cut by bytes too, so that very long texts do not fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
@@ -211,7 +211,7 @@ def run_hashes(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(np.add.reduceat(part, total - spans) + spans.astype(np.uint64))
 
 
-def row_slices(batch: pa.RecordBatch, text_at: int, chars: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def row_slices(batch: pa.RecordBatch, text_at: int, chars: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about `chars` bytes of text (one longer text is a slice of its own)."""
     for a, b, _, _ in text_chunks(batch.column(text_at), chars):
         yield batch.slice(a, b - a)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample_share
+from .common import bounded_batches, sample_share
 
 # The contract's patterns, in the order of kinds.  A run of 24 characters or more is what is left of
 # `[0-9a-f]+` once shorter matches are dropped, and so for AKIA.
@@ -267,6 +267,7 @@ def train(texts: list[str | None], most: int = 400, rejected: float = 1.0) -> Fo
 
 def scan(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, spans array of (start, end, kind)) of every row, formats learned from about train_rows of them."""
+    bounded_batches(docs.sparkSession)
     sample = sample_share(docs.select(id_col, text_col), id_col, train_rows).select(text_col).toArrow()
     model = train(sample.column(0).to_pylist())
     kind = dict(docs.dtypes)[id_col]
@@ -304,6 +305,7 @@ def digest(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text
 
 def redact(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """The same columns, each found span replaced by `mark` and the character count (where there is one) brought up to date."""
+    bounded_batches(docs.sparkSession)
     sample = sample_share(docs.select(id_col, text_col), id_col, train_rows).select(text_col).toArrow()
     model = train(sample.column(0).to_pylist())
     names = docs.columns

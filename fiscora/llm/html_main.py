@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe object svg math textarea title head".split())
@@ -252,6 +254,7 @@ def main_text(page: str | None, field: Field) -> str:
 
 def extract_main(pages: DataFrame, labelled: list[tuple[list[Block], list[int]]] | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every page."""
+    bounded_batches(pages.sparkSession)
     field = train(labelled if labelled is not None else labelled_pages())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASES, materialise, text_chunks, window_hashes, word_hashes
+from .common import BASES, bounded_batches, materialise, text_chunks, window_hashes, word_hashes
 
 #: Perfect difference set modulo 21: every residue is a difference of two of these.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
@@ -263,6 +263,7 @@ def sized_broadcast(hits: DataFrame, most: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = 35, bucket_bytes: int = 32 << 20, broadcast_bytes: int = 32 << 20, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of every row, with the kept text too if asked for."""
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     keyed = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"), F.col(id_col).alias("_id"))
     hits = sized_broadcast(materialise(repeated_windows(keyed.select("_key", "_text"), length, bucket_bytes, broadcast_bytes), "repeats"), broadcast_bytes)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import letter_words, mix, row_slices, run_hashes, sample_share
+from .common import bounded_batches, letter_words, mix, row_slices, run_hashes, sample_share
 
 TABLE = 1 << 20
 AFFIXES = ((0, 4), (0, 5), (0, 6), (1, 4), (1, 5))
@@ -132,6 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int, levels: int, id_c
 
 def score(docs: DataFrame, labels: DataFrame, train_rows: int = 5000, levels: int = 3, cut: float = 0.5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(id, expected_severity, grade, toxic) of every row: toxic where P(grade > 0) is `cut` or more."""
+    bounded_batches(docs.sparkSession)
     model = train(docs, labels, train_rows, levels, id_col, text_col, label_col)
     if model:
         model.weights = model.weights.astype(np.float32)

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, sample_share, scratch
+from .common import bounded_batches, materialise, sample_share, scratch
 
 # Fixed values of the WARC and Zstandard formats.
 SKIPPABLE = (0x184D2A5D).to_bytes(4, "little")
@@ -223,6 +223,7 @@ def round_trip(
     The dictionary is trained on about sample_rows pages, of each sample_chars characters at most.
     """
     spark = pages.sparkSession
+    bounded_batches(spark)
     sample = sample_share(pages.select(id_col, html_col), id_col, sample_rows).select(F.substring(F.coalesce(F.col(html_col), F.lit("")), 1, sample_chars)).toArrow()
     dictionary = train_dictionary([x.encode() for x in sample.column(0).to_pylist()])
     folder = scratch(spark, "warc")
