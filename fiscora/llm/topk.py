@@ -10,6 +10,7 @@ Queries are a stated set.  They go to the tasks in chunks of bounded bytes, one
 Defined cases: a vector that is null, empty, or holds null or non-finite components takes no part, neither as query nor
 as candidate; vectors of other lengths than the query's are no candidates of it; ties go to the smaller id; rows
 of a repeated id are candidates each, and a query leaves out all rows of its own id; other columns are ignored.
+Scores are exact integers of any size; what does not fit a long is returned as the nearest long.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def usable(vector: Column) -> Column:
     return F.when((F.size(vector) > 0) & fine, wide)
 
 
-def _block_scores(q: np.ndarray, cand: np.ndarray, low: np.ndarray, own: np.ndarray, step: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _block_scores(q: np.ndarray, cand: np.ndarray, low: np.ndarray, step: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query, candidate columns, scores) that may reach low[query]; cand is dimensions x candidates."""
     dims = cand.shape[0]
     cuts = range(step, dims, step)
@@ -57,40 +58,62 @@ def _block_scores(q: np.ndarray, cand: np.ndarray, low: np.ndarray, own: np.ndar
             yield i, np.arange(cand.shape[1]) if at is None else at, part
 
 
+class _Best:
+    """The k best (score, id) of each query; floats hold the scores while all are exact in them, then integers do."""
+
+    def __init__(self, ids: np.ndarray, k: int):
+        self.ids, self.k = ids, k
+        self.score = np.full((len(ids), k), -np.inf)
+        self.other = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.large: list[list[tuple[int, int]]] | None = None
+
+    def offer(self, i: int, own: np.ndarray, scores: np.ndarray) -> None:
+        ok = own != self.ids[i]
+        if self.large is None:
+            ok &= scores >= self.score[i, -1]
+            if ok.any():
+                s, v = np.concatenate([self.score[i], scores[ok]]), np.concatenate([self.other[i], own[ok]])
+                top = np.lexsort((v, -s))[: self.k]
+                self.score[i], self.other[i] = s[top], v[top]
+        else:
+            self.large[i] = sorted(self.large[i] + [(-int(s), int(v)) for s, v in zip(scores[ok], own[ok])])[: self.k]
+
+    def grow(self) -> None:
+        if self.large is None:
+            self.large = [[(-int(s), int(v)) for s, v in zip(*row) if np.isfinite(s)] for row in zip(self.score, self.other)]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.large is None:
+            at = np.nonzero(np.isfinite(self.score))
+            return self.ids[at[0]], self.other[at], self.score[at].astype(np.int64)
+        most = (1 << 63) - 1
+        flat = [(self.ids[i], v, max(-most - 1, min(most, -s))) for i, row in enumerate(self.large) for s, v in row]
+        return tuple(np.array(c, np.int64) for c in (zip(*flat) if flat else ((), (), ())))
+
+
 def _searcher(packed: bytes, dims: int, k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = np.frombuffer(packed, np.int64).reshape(-1, dims + 1)
         ids, vectors = raw[:, 0], raw[:, 1:]
-        best_s = np.full((len(ids), k), -np.inf)
-        best_i = np.full((len(ids), k), np.iinfo(np.int64).max)
-        far = float(np.abs(vectors).max(initial=0)) * dims
+        best = _Best(ids, k)
+        far = float(np.abs(vectors.astype(np.float64)).max(initial=0)) * dims
         for batch in batches:
-            flat = batch.column(1)
             for a in range(0, batch.num_rows, CANDIDATES):
-                piece = flat.slice(a, CANDIDATES)
+                piece = batch.column(1).slice(a, CANDIDATES)
                 own = np.asarray(batch.column(0).slice(a, CANDIDATES))
                 cand = np.asarray(piece.flatten()).reshape(len(piece), dims).T
-                exact = far * float(np.abs(cand).max(initial=0)) < _EXACT
-                cand = np.ascontiguousarray(cand, np.float64 if exact else object)
+                if best.large is None and far * float(np.abs(cand.astype(np.float64)).max(initial=0)) >= _EXACT:
+                    best.grow()
+                cand = np.ascontiguousarray(cand, np.float64 if best.large is None else object)
                 for b in range(0, len(ids), QUERIES):
-                    q = vectors[b : b + QUERIES].astype(np.float64 if exact else object)
-                    low = best_s[b : b + QUERIES, -1]
-                    if exact:
-                        found = _block_scores(q, cand, low, own, DIMENSIONS)
+                    q = vectors[b : b + QUERIES].astype(cand.dtype)
+                    if best.large is None:
+                        found = _block_scores(q, cand, best.score[b : b + QUERIES, -1], DIMENSIONS)
                     else:
                         found = ((i, np.arange(cand.shape[1]), row) for i, row in enumerate(q @ cand))
                     for i, at, scores in found:
-                        ok = (own[at] != ids[b + i]) & (scores >= low[i])
-                        if not ok.any():
-                            continue
-                        s = np.concatenate([best_s[b + i], scores[ok]])
-                        v = np.concatenate([best_i[b + i], own[at][ok]])
-                        top = np.lexsort((v, -s))[:k]
-                        best_s[b + i], best_i[b + i] = s[top], v[top]
-        at = np.nonzero(np.isfinite(best_s))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[at[0]]), pa.array(best_i[at]), pa.array(best_s[at].astype(np.int64))], names=["query_id", "vec_id", "score"]
-        )
+                        best.offer(b + i, own[at], scores)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.rows()], names=["query_id", "vec_id", "score"])
 
     return search
 
