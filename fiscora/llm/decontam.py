@@ -22,7 +22,8 @@ from .common import materialise
 # Private-use characters as placeholders, and units of measure.
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 UNITS = "kg|g|mg|lb|lbs|oz|t|km|m|cm|mm|mi|ft|in|l|ml|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|miles?|meters?|metres?|dollars?|euros?|cents?|percent|degrees?|kmh|mph|w|kw|v|hz"
-_DIGITS = r"\p{Nd}+(?:[.,:/-]\p{Nd}+)*"
+#: A number stands alone, or before a unit; digits within a word are a part of the word.
+_DIGITS = r"(?<![\p{L}\p{N}])\p{Nd}+(?:[.,:/-]\p{Nd}+)*(?=(?i:" + UNITS + r")?(?![\p{L}\p{N}]))"
 _PLACE = f"[{NUMBER}{UNIT}{NAME}]"
 
 
