@@ -20,7 +20,7 @@ from .lineage import _HEX, WORKBOOK_KIND, country_issues, file_digest, given, lo
 VERSION = 5
 STATUSES = ("not_started", "in_progress", "passed", "blocked", "not_applicable")
 GATES = (
-    "intake", "workbook_audit", "subnational_scope", "workbook_duplicates", "overcounting", "foreign_funding", "boost_etl", "subnational_data", "cross_country", "dashboard", "staging", "production",
+    "intake", "workbook_audit", "subnational_scope", "workbook_duplicates", "overcounting", "foreign_funding", "etl", "subnational_data", "cross_country", "dashboard", "staging", "production",
 )
 REPORTS = {
     "intake": ("source_intake",), "workbook_audit": ("workbook_audit",), "subnational_scope": ("subnational_scope", "subnational_decision"), "workbook_duplicates": ("workbook_duplicates",),
@@ -32,6 +32,16 @@ RAN_WELL = ("passed", "success", "succeeded")
 CLOSED = ("resolved", "accepted")
 
 
+def gate_name(name: str) -> str:
+    """The gate of the pipeline may carry the pipeline's name in front: x_etl is etl."""
+    return "etl" if name.endswith("_etl") else name
+
+
+def gates_of(record: dict) -> dict:
+    held = record.get("gates")
+    return {gate_name(k): v for k, v in held.items()} if isinstance(held, dict) else {}
+
+
 def new_record(country: str, iso2: str, iso3: str, workspace: str, manifest_path: str, repositories: tuple[str, ...]) -> dict:
     """An empty record of the current version."""
     return {
@@ -193,7 +203,7 @@ def _place_issues(record: dict, ready: bool, base: Path, repositories: tuple[str
 
 
 def _subnational_issues(record: dict, ready: bool) -> list[str]:
-    sub, gates = record.get("subnational") or {}, record.get("gates") or {}
+    sub, gates = record.get("subnational") or {}, gates_of(record)
     required = sub.get("required")
     scope, data = ((gates.get(g) or {}).get("status") == "passed" for g in ("subnational_scope", "subnational_data"))
     decided, delivered = ready or scope or data, ready or data
@@ -237,7 +247,7 @@ def record_issues(record: dict, ready: bool = False, base: Path | None = None, r
     base = (base or Path.cwd()).resolve()
     issues = [] if record.get("schema_version") == VERSION else [f"schema_version must be {VERSION}"]
     issues += country_issues(record.get("country") or {}) + _workbook_issues(record, ready, base) + _package_issues(record, ready, base) + _place_issues(record, ready, base, repositories)
-    gates = record.get("gates") or {}
+    gates = gates_of(record)
     if lacks := [g for g in GATES if g not in gates]:
         issues.append(f"missing gates: {', '.join(sorted(lacks))}")
     digest, required = (record.get("source_package") or {}).get("inventory_sha256"), (record.get("subnational") or {}).get("required")
@@ -267,7 +277,7 @@ def check_record(path: Path, ready: bool = False, repositories: tuple[str, ...]
 
 def next_step(record: dict, base: Path | None = None, repositories: tuple[str, ...] | None = None) -> dict:
     """The first gate in order that has not passed."""
-    issues, gates = record_issues(record, False, base, repositories), record.get("gates") if isinstance(record.get("gates"), dict) else {}
+    issues, gates = record_issues(record, False, base, repositories), gates_of(record)
     at = next((g for g in GATES if (gates.get(g) or {}).get("status") != "passed"), None)
     gate = (gates.get(at) or {}) if at else {}
     action = gate.get("next_action") if at else (record.get("handoff") or {}).get("next_action")
@@ -279,9 +289,9 @@ def upgrade(record: dict, manifest_path: str) -> dict:
     if record.get("schema_version") != VERSION - 1:
         raise ValueError(f"only records of version {VERSION - 1} can be upgraded")
     new = deepcopy(record)
-    gates = new.get("gates")
-    if not isinstance(gates, dict):
+    if not isinstance(new.get("gates"), dict):
         raise ValueError("gates must be an object")
+    gates = gates_of(new)
     if lacks := sorted(({*GATES, "subnational"} - {"subnational_scope", "subnational_data"}) - set(gates)):
         raise ValueError(f"a record with missing gates cannot be upgraded: {', '.join(lacks)}")
     old = gates["subnational"]
@@ -313,6 +323,6 @@ def evidence_table(spark: SparkSession, record: dict) -> DataFrame:
     """(position, gate, status, kind, reference, checked_at) of all evidence."""
     rows = [
         (GATES.index(g) if g in GATES else None, g, gate.get("status"), e.get("kind"), str(e.get("path") or e.get("command") or e.get("run_id") or e.get("url") or e.get("reason")), e.get("checked_at"))
-        for g, gate in (record.get("gates") or {}).items() if isinstance(gate, dict) for e in gate.get("evidence") or [] if isinstance(e, dict)
+        for g, gate in gates_of(record).items() if isinstance(gate, dict) for e in gate.get("evidence") or [] if isinstance(e, dict)
     ]
     return spark.createDataFrame(rows, "position int, gate string, status string, kind string, reference string, checked_at string")

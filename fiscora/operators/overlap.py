@@ -1,7 +1,8 @@
 """Overlap of tagging rules: pairs, net excess and doubles within a rule (C02; G04-G07, J02, J04, B11).
 
-Each group of competing codes becomes one array column of the codes a row meets.  Pairs are exploded from that array, so
-only real overlaps are made, in one scan and one shuffle, where a join of codes would make all of them.
+Each group of competing codes becomes bits of the codes a row meets, and rows are summed by group, bits and year before
+anything else: what is shuffled is a row for each set of codes that occurs, whatever the size of the table.  Pairs, totals
+and excess are then exploded from those few rows.
 """
 
 from __future__ import annotations
@@ -42,25 +43,40 @@ def candidate_groups(dictionary: list[dict], patterns: tuple[str, ...] = SUBNATI
     return groups
 
 
+#: Codes that one long holds as bits.
+WORD_BITS = 62
+
+
 def _numbers(df: DataFrame, measures: list[str]) -> list[Column]:
     kinds = dict(df.dtypes)
     return [F.coalesce(to_number(df[m], kinds[m]), F.lit(0.0)).alias(f"m_{m}") for m in measures]
 
 
-def memberships(df: DataFrame, masks: dict[str, Column], groups: dict[Group, dict[str, str]], measures: list[str], year: str | None) -> DataFrame:
-    """scope, kind, level, codes (sorted array), year, measures: a row for each row and group with a code met."""
-    arrays = []
-    for (scope, kind, level), members in sorted(groups.items()):
-        present = sorted(c for c in members if c in masks)
-        if present:
-            codes = F.array_compact(F.array(*[F.when(masks[c], F.lit(c)) for c in present]))
-            arrays.append(F.struct(F.lit(scope).alias("scope"), F.lit(kind).alias("tag_kind"), F.lit(level).alias("level"), codes.alias("codes")))
-    if not arrays:
-        arrays = [F.struct(F.lit("").alias("scope"), F.lit("").alias("tag_kind"), F.lit("").alias("level"), F.array().cast("array<string>").alias("codes"))]
+def _bits(masks: list[Column]) -> Column:
+    words = [masks[i : i + WORD_BITS] for i in range(0, len(masks), WORD_BITS)]
+    return F.array(*[reduce(add, [F.when(m, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, m in enumerate(w)]) for w in words])
+
+
+def memberships(df: DataFrame, masks: dict[str, Column], groups: dict[Group, dict[str, str]], measures: list[str], year: str | None, scale: int | None = None) -> DataFrame:
+    """scope, tag_kind, level, codes (sorted array), year, n, m_<measure>: a row for each set of codes that rows of a year meet."""
+    listed = [(g, sorted(c for c in members if c in masks)) for g, members in sorted(groups.items())]
+    listed = [(g, codes) for g, codes in listed if codes]
     years = df[year].cast("string") if year and year in df.columns else F.lit(None).cast("string")
+    none = F.struct(F.lit(-1).alias("i"), F.array().cast("array<bigint>").alias("bits"))
+    arrays = [F.struct(F.lit(i).alias("i"), _bits([masks[c] for c in codes]).alias("bits")) for i, (_, codes) in enumerate(listed)] or [none]
     # the arrays are a column of their own, so that the masks are evaluated once
     work = df.select(F.array(*arrays).alias("g"), years.alias("year"), *_numbers(df, measures))
-    return work.select(F.explode("g").alias("g"), "year", *[f"m_{m}" for m in measures]).select("g.*", "year", *[f"m_{m}" for m in measures]).filter(F.size("codes") > 0)
+    flat = work.select(F.explode("g").alias("g"), "year", *[f"m_{m}" for m in measures]).filter(F.exists("g.bits", lambda b: b != 0))
+    kind = "double" if scale is None else f"decimal(28,{scale})"
+    summed = flat.groupBy("g.i", "g.bits", "year").agg(F.count("*").alias("n"), *[F.sum(F.col(f"m_{m}").cast(kind)).alias(f"m_{m}") for m in measures])
+
+    def held(codes: list[str]) -> Column:
+        bit = lambda k: F.col("bits")[k // WORD_BITS].bitwiseAND(F.lit(1 << k % WORD_BITS)) != 0
+        return F.array_compact(F.array(*[F.when(bit(k), F.lit(c)) for k, c in enumerate(codes)]))
+
+    name = lambda part: reduce(lambda rest, at: F.when(F.col("i") == at[0], F.lit(at[1][0][part])).otherwise(rest), enumerate(listed), F.lit(None).cast("string"))
+    codes = reduce(lambda rest, at: F.when(F.col("i") == at[0], held(at[1][1])).otherwise(rest), enumerate(listed), F.array().cast("array<string>"))
+    return summed.select(name(0).alias("scope"), name(1).alias("tag_kind"), name(2).alias("level"), codes.alias("codes"), "year", "n", *[f"m_{m}" for m in measures])
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -70,14 +86,14 @@ def _pairs(met: DataFrame) -> DataFrame:
 
 def code_totals(met: DataFrame, measures: list[str], scale: int | None = None) -> DataFrame:
     codes = met.withColumn("code", F.explode("codes"))
-    return codes.groupBy("scope", "tag_kind", "level", "code").agg(F.count("*").alias("rows"), *[exact_sum(F.col(f"m_{m}"), scale).alias(m) for m in measures])
+    return codes.groupBy("scope", "tag_kind", "level", "code").agg(F.sum("n").alias("rows"), *[exact_sum(F.col(f"m_{m}"), scale).alias(m) for m in measures])
 
 
 def pair_overlaps(met: DataFrame, measures: list[str], by_year: bool = False, scale: int | None = None) -> DataFrame:
     """Overlap of two codes in all, with its ratio to the smaller of their totals, or by year."""
     keys = ["scope", "tag_kind", "level", "code_a", "code_b"]
     sums = [exact_sum(F.col(f"m_{m}"), scale).alias(f"{m}_overlap") for m in measures]
-    found = _pairs(met).groupBy(*keys, *(["year"] if by_year else [])).agg(F.count("*").alias("rows"), *sums)
+    found = _pairs(met).groupBy(*keys, *(["year"] if by_year else [])).agg(F.sum("n").alias("rows"), *sums)
     if by_year:
         return found
     totals = code_totals(met, measures, scale).drop("rows")
@@ -92,7 +108,7 @@ def net_excess(met: DataFrame, measures: list[str], has_year: bool, scale: int |
     k = F.size("codes")
     over = met.filter(k > 1) if not has_year else met.filter((k > 1) & F.col("year").isNotNull())
     return over.groupBy("scope", "tag_kind", "level", "year").agg(
-        F.count("*").alias("unique_affected_rows"), F.max(k).cast("long").alias("max_memberships"),
+        F.sum("n").alias("unique_affected_rows"), F.max(k).cast("long").alias("max_memberships"),
         *[x for m in measures for x in (exact_sum(F.col(f"m_{m}"), scale).alias(f"{m}_exposure"), exact_sum(F.col(f"m_{m}") * (k - 1), scale).alias(f"{m}_net_excess"))],
     )
 
@@ -175,7 +191,7 @@ def audit_overlaps(config: dict, rules: list[dict], dictionary: list[dict], inpu
             masks = masks_by_code(usable)
             year = fields.get("year")
             has_year = bool(year) and year in df.columns
-            met = memberships(df, masks, groups, measures, year if has_year else None)
+            met = memberships(df, masks, groups, measures, year if has_year else None, scale).persist()  # a few rows, read four times
             of = {"range": name, "stage": stage}
             value = {(g, c): v for g, members in groups.items() for c, v in members.items()}
             samples = {}

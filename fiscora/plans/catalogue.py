@@ -290,7 +290,7 @@ def _compiled(df: DataFrame) -> list:
 
 def _met(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _lines(spark, sf_dir)
-    return overlap.memberships(df, masks_by_code(_compiled(df)), overlap.candidate_groups(_CODES), ["amount"], "y")
+    return overlap.memberships(df, masks_by_code(_compiled(df)), overlap.candidate_groups(_CODES), ["amount"], "y", scale=2)
 
 
 _SUM = "cast(sum(cast({} as decimal(28,2))) as double)"

@@ -151,6 +151,19 @@ def test_overlap_unsupported_rules_and_bad_configs(spark):
     assert "repeats codes" in " ".join(overlap.audit_overlaps(CONFIG, [rule()], [*CODES, CODES[0]], lines(spark)).blockers)
 
 
+def test_overlap_of_many_codes(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(140).select(F.col("id").alias("i"), F.lit(1.0).alias("v"), F.lit(None).cast("int").alias("y"))
+    codes = [{"code": f"C{k:03d}", "tag_kind": "k", "econ": "x"} for k in range(130)]
+    masks = {c["code"]: (df.i == k) | (df.i == k + 1) for k, c in enumerate(codes)}
+    met = overlap.memberships(df, masks, overlap.candidate_groups(codes), ["v"], "y")
+    pairs = {(r["code_a"], r["code_b"]): r["rows"] for r in overlap.pair_overlaps(met, ["v"]).collect()}
+    assert pairs == {(f"C{k:03d}", f"C{k + 1:03d}"): 1 for k in range(129)}
+    assert {r["rows"] for r in overlap.code_totals(met, ["v"]).collect()} == {2} and overlap.net_excess(met, ["v"], True).count() == 0
+    assert overlap.memberships(df, {}, {}, ["v"], None).count() == 0
+
+
 def test_candidate_groups():
     groups = overlap.candidate_groups([{"code": "X_SBN_1", "tag_kind": "k", "econ": "a", "econ_sub": "b", "func": "c"}, {"code": "P", "econ": ""}])
     assert groups == {("subnational", "k", "econ_sub"): {"X_SBN_1": "b"}, ("subnational", "k", "func"): {"X_SBN_1": "c"}}
