@@ -23,7 +23,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialise, sample_share, scratch
@@ -127,6 +127,14 @@ def read_frames(stream) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI with its scheme, as Spark's file systems resolve it, so that pyarrow opens the same store."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return "file://" + found.removeprefix("file:") if found.startswith("file:/") and not found.startswith("file://") else found
+
+
 def train_dictionary(payloads: list[bytes], size: int = 1 << 16) -> bytes:
     """A trained dictionary, or where there are too few samples their plain content."""
     samples = [build_record("0", f"https://example.com/{i}", p, None, "2024-01-01T00:00:00Z") for i, p in enumerate(payloads)]
@@ -181,7 +189,7 @@ def write_archives(rows: DataFrame, folder: str, dictionary: bytes, max_bytes: i
     return [r["path"] for r in rows.mapInArrow(run, "path string").collect()]
 
 
-def read_archives(spark, paths: list[str]) -> DataFrame:
+def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of the archives' records, one task an archive."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,5 +234,5 @@ def round_trip(
     bounded_batches(spark)
     sample = sample_share(pages.select(id_col, html_col), id_col, sample_rows).select(F.substring(F.coalesce(F.col(html_col), F.lit("")), 1, sample_chars)).toArrow()
     dictionary = train_dictionary([x.encode() for x in sample.column(0).to_pylist()])
-    folder = scratch(spark, "warc")
+    folder = qualified(spark, scratch(spark, "warc"))
     return read_archives(spark, write_archives(revisits(pages, min_bytes, id_col, url_col, html_col, broadcast_rows), folder, dictionary))

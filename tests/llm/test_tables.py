@@ -44,6 +44,10 @@ def test_round_trip(spark, options):
     assert warc.round_trip(df.filter("false")).collect() == []
 
 
+def test_qualified_paths(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == f"file://{tmp_path}" == warc.qualified(spark, f"file://{tmp_path}")
+
+
 def archive(records: list[bytes], dictionary: bytes, packed=True) -> bytes:
     inner = zstandard.ZstdCompressor().compress(dictionary) if packed else dictionary
     engine = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
