@@ -1,0 +1,87 @@
+"""The command line, run in this process."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from fiscora import cli
+
+from .test_audits import CODES, PREDICATE, contract, rule
+from .test_records import NOW, inventory
+from .test_workbooks import PATCH, book  # noqa: F401
+
+
+def run(*argv) -> int:
+    return cli.main([str(a) for a in argv])
+
+
+def csv(path, rows):
+    path.write_text("\n".join(",".join(map(str, r)) for r in rows) + "\n")
+    return path
+
+
+def test_reconcile(spark, tmp_path):
+    a, b = csv(tmp_path / "a.csv", [("year", "amount"), (2023, 100)]), csv(tmp_path / "b.csv", [("year", "amount"), (2023, 200)])
+    args = ("reconcile", "--left", a, "--keys", "year", "--left-value", "amount", "--right-value", "amount", "--report", tmp_path / "r.json", "--detail-csv", tmp_path / "d")
+    assert run(*args, "--right", a) == 0 and run(*args, "--right", b) == 1
+    assert json.loads((tmp_path / "r.json").read_text())["status_counts"] == {"DISCREPANCY": 1}
+    assert run(*args, "--right", b, "--relative-tolerance", 0.5) == 0
+
+
+def test_flags(spark, tmp_path):
+    data = csv(tmp_path / "d.csv", [("row_id", "year", "funding_code", "is_foreign", "approved"), (1, 2023, "10", "false", 100), (2, 2023, "27 A", "true", 50)])
+    (tmp_path / "p.json").write_text(json.dumps(PREDICATE))
+    args = ("flags", "--data", data, "--measure", "approved", "--id-column", "row_id", "--text-column", "funding_code", "--report", tmp_path / "r.json", "--detail-csv", tmp_path / "out")
+    assert run(*args, "--predicate-config", tmp_path / "p.json") == 0 and run(*args) == 1
+
+
+def test_overlap(spark, tmp_path):
+    data = csv(tmp_path / "d.csv", [("year", "approved", "econ1"), (2023, 100, "A")])
+    config = {"country": "X", "expected_stages": ["Approved"], "expected_codes_by_stage": {"Approved": ["A"]}, "ranges": [{"name": "r", "input": str(data), "format": "csv", "measures": ["approved"], "measure_dispatch": ["approved"], "field_map": {"econ": "econ1", "year": "year"}}]}
+    (tmp_path / "c.json").write_text(json.dumps(config))
+    r = rule()
+    quoted = '"' + r["criteria_json"].replace('"', '""') + '"'
+    rules = csv(tmp_path / "rules.csv", [("code", "row_type", "sheet", "measure", "criteria_json"), (r["code"], "TAG", "Approved", "approved", quoted)])
+    codes = csv(tmp_path / "codes.csv", [("code", "tag_kind", "econ"), *[(c["code"], c["tag_kind"], c["econ"]) for c in CODES]])
+    assert run("overlap", "--config", tmp_path / "c.json", "--tag-rules", rules, "--code-dictionary", codes, "--report", tmp_path / "r.json", "--detail-csv", tmp_path / "out") == 0
+
+
+def test_coverage(spark, tmp_path):
+    features = [{"type": "Feature", "properties": {"n": n}, "geometry": {"type": "Point", "coordinates": [0, 0]}} for n in ("North", "Central")]
+    (tmp_path / "b.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    csv(tmp_path / "p.csv", [("region", "year", "population"), ("North", 2023, 10), ("Central", 2023, 5)])
+    (tmp_path / "c.json").write_text(json.dumps(contract()))
+    assert run("coverage", "--contract", tmp_path / "c.json", "--report", tmp_path / "r.json") == 0
+    (tmp_path / "b.geojson").unlink()
+    (tmp_path / "p.csv").unlink()
+    assert run("coverage", "--contract", tmp_path / "c.json", "--report", tmp_path / "r.json") == 1
+    assert "boundary input could not be loaded" in (tmp_path / "r.json").read_text()
+
+
+def test_workbooks(spark, book, tmp_path):  # noqa: F811
+    assert run("workbook", "--workbook", book, "--report", tmp_path / "w.json", "--sheet-csv", tmp_path / "s") == 1
+    (tmp_path / "patches.json").write_text(json.dumps([PATCH]))
+    files = ("--base", book, "--patches", tmp_path / "patches.json", "--output", tmp_path / "new.xlsx")
+    assert run("patch", *files) == 0 and run("verify", *files, "--report", tmp_path / "v.json") == 0
+    sheets = [{"name": "Raw", "role": "raw", "check_duplicate_headers": True, "check_exact_rows": True, "key_columns": ["row_id"], "max_data_row": 3}]
+    gone = [{"name": n, "role": "other", "reason": "r", "owner": "o", "evidence": "e", "checked_at": NOW} for n in ("Out", "Lost")]
+    (tmp_path / "c.json").write_text(json.dumps({"check_normalized_sheet_names": True, "sheets": sheets, "excluded_sheets": gone}))
+    assert run("duplicates", "--workbook", book, "--config", tmp_path / "c.json", "--report", tmp_path / "d.json") == 0
+    with pytest.raises(SystemExit):
+        run("duplicates", "--workbook", tmp_path / "x.csv", "--config", tmp_path / "c.json")
+
+
+def test_records(tmp_path, capsys):
+    (tmp_path / "inv.json").write_text(json.dumps(inventory(tmp_path)))
+    assert run("sources", "--inventory", tmp_path / "inv.json", "--report", tmp_path / "s.json") == 0
+    init = ("manifest", "init", "--manifest", tmp_path / "m.json", "--country", "X", "--iso2", "xx", "--iso3", "xxx", "--workspace", tmp_path, "--repository", "etl")
+    assert run(*init) == 0 and run("manifest", "check", "--manifest", tmp_path / "m.json") == 1
+    capsys.readouterr()
+    assert run("manifest", "next", "--manifest", tmp_path / "m.json") == 1
+    assert json.loads(capsys.readouterr().out)["current_gate"] == "intake"
+    with pytest.raises(FileExistsError):
+        run(*init)
+    start = ("start", "--country", "X", "--iso2", "xx", "--iso3", "xxx", "--workbook", tmp_path / "book.xlsx", "--source-owner", "o", "--currency", "USD", "--amount-unit", "u", "--fiscal-year-convention", "c", "--repo-root", tmp_path / "none", "--repository", "etl", "--workspace", tmp_path / "w", "--stage", "approved", "--year", "2023", "--published-product", "gold")
+    assert run(*start) == 1
