@@ -12,7 +12,6 @@ equal rows give equal results; an empty table gives an empty result; other colum
 
 from __future__ import annotations
 
-import hashlib
 import math
 import random
 import re
