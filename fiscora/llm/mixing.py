@@ -27,6 +27,12 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(spaced, " "), lambda w: w != "")).cast("long")
 
 
+def random_key(ident: Column, seed: int) -> Column:
+    """60 random bits of an id: the first 15 hexadecimal digits of an MD5, which any SQL engine can repeat."""
+    said = F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(said.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def source_targets(totals: DataFrame, weights: list[float], share: float, most: float) -> DataFrame:
     """Adds target to (source, source_size): weights go round by code point, null last; no target is above most * size.
 
@@ -66,10 +72,10 @@ def mix_sources(
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     targets = materialise(source_targets(totals, weights, share, most), "mix-targets").withColumnRenamed("source", "_source")
     at = sized.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    key = F.xxhash64(F.lit(seed), F.col("_id"))
+    key = random_key(F.col("_id"), seed)
     ranges = F.ceil(F.col("source_rows") / F.lit(float(range_rows)))
     # the key's place among its source's ranges: order of ranges is order of keys
-    place = F.least(F.floor((key / F.lit(float(1 << 64)) + 0.5) * ranges), ranges - 1)
+    place = F.least(F.floor(key / F.lit(float(1 << 60)) * ranges), ranges - 1)
     keyed = materialise(at.withColumn("_key", key).withColumn("_range", place.cast("long")), "mix-keys")
     before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import credential_scan, decontam, html_main, jaccard, langid, substring, toxicity, warc
 from .common import table
 from .mixing import mix_sources
+from .oracles import ORACLES
 from .topk import top_k
 
 
@@ -60,4 +61,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
