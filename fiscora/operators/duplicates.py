@@ -129,7 +129,7 @@ def audit_table(df: DataFrame, name: str, row: str, config: dict, headers: list[
         issues.append(f"{len(collisions)} duplicate header group(s)")
     compared = [c for c in data if c not in skip]
     if config.get("check_exact_rows", True) and compared:
-        exact = tables["exact"] = duplicate_groups(rows, compared, row)
+        exact = tables["exact"] = duplicate_groups(rows, compared, row).persist()
         facts["exact_duplicate_group_count"] = exact.count()
         facts["exact_duplicate_groups_sample"] = [r.asDict() for r in exact.select("first_row", "n").orderBy("first_row").limit(limit).collect()]
         if facts["exact_duplicate_group_count"]:
@@ -141,7 +141,7 @@ def audit_table(df: DataFrame, name: str, row: str, config: dict, headers: list[
             groups = groups.withColumn("allowed", reduce(or_, [F.col("key") == _key_literal(v) for v in texts]))
         else:
             groups = groups.withColumn("allowed", F.lit(False))
-        tables["keys"] = groups
+        groups = tables["keys"] = groups.persist()
         counts = {r["allowed"]: r["n"] for r in groups.groupBy("allowed").agg(F.count("*").alias("n")).collect()}
         facts |= {"duplicate_key_group_count": sum(counts.values()), "unexpected_duplicate_key_group_count": counts.get(False, 0)}
         for sort, flag in (("duplicate_key_groups_sample", "not allowed"), ("allowed_duplicate_key_groups_sample", "allowed")):

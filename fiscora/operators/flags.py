@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import PredicateError, derived_flag
-from ..functions.values import FALSE_WORDS, TRUE_WORDS, exact_sum, flag, is_blank, to_number
+from ..functions.values import FALSE_WORDS, TRUE_WORDS, flag, is_blank, to_number
 from ..report import Report, encode, sample
 
 
@@ -19,21 +19,27 @@ def measured(df: DataFrame, measures: list[str], year: str, flag_column: Column)
     return df.select(df[year].alias("year"), flag_column.alias("flag"), *[to_number(df[m], kinds[m]).alias(m) for m in measures])
 
 
-def partition_summary(work: DataFrame, measures: list[str], scale: int | None = None) -> DataFrame:
+def year_flag_sums(work: DataFrame, measures: list[str], scale: int | None = None) -> DataFrame:
+    """Rows (n) and sums by year and flag, nulls included: all that summary and conservation need, in one pass."""
+    kind = "double" if scale is None else f"decimal(28,{scale})"
+    return work.groupBy("year", "flag").agg(F.count("*").alias("n"), *[F.sum(F.col(m).cast(kind)).alias(m) for m in measures])
+
+
+def partition_summary(sums: DataFrame, measures: list[str]) -> DataFrame:
     """Rows and sums by year and flag, where both are known."""
-    known = work.filter(F.col("year").isNotNull() & F.col("flag").isNotNull())
-    return known.groupBy("year", "flag").agg(F.count("*").alias("rows"), *[exact_sum(F.col(m), scale).alias(m) for m in measures])
+    known = sums.filter(F.col("year").isNotNull() & F.col("flag").isNotNull())
+    return known.select("year", "flag", F.col("n").alias("rows"), *[F.col(m).cast("double").alias(m) for m in measures])
 
 
-def conservation(work: DataFrame, measures: list[str], scale: int | None = None) -> DataFrame:
-    """G03 in one grouping: all rows and sums against those with a flag.
+def conservation(sums: DataFrame, measures: list[str]) -> DataFrame:
+    """All rows and sums of a year against those with a flag.
 
     A year without any flagged row has a partitioned sum of 0; a null sum has a null difference.
     """
     flagged = F.col("flag").isNotNull()
-    parts = work.filter("year is not null").groupBy("year").agg(
-        F.count("*").alias("all_rows"), F.count_if(flagged).alias("partitioned_rows"),
-        *[x for m in measures for x in (exact_sum(F.col(m), scale).alias(f"{m}_all"), exact_sum(F.when(flagged, F.col(m)), scale).alias(f"{m}_some"))],
+    parts = sums.filter("year is not null").groupBy("year").agg(
+        F.sum("n").alias("all_rows"), F.coalesce(F.sum(F.when(flagged, F.col("n"))), F.lit(0)).alias("partitioned_rows"),
+        *[x for m in measures for x in (F.sum(m).cast("double").alias(f"{m}_all"), F.sum(F.when(flagged, F.col(m))).cast("double").alias(f"{m}_some"))],
     )
     out = ["year", "all_rows", "partitioned_rows", (F.col("all_rows") - F.col("partitioned_rows")).alias("row_difference")]
     for m in measures:
@@ -116,9 +122,8 @@ def audit_flags(
     values = sorted({v for v in (seen["least"], seen["most"]) if v is not None})
     if require_both_values and values != [False, True]:
         blockers.append("the output flag does not hold both false and true")
-    work = measured(df, measures, year_column, out["value"])
-    kept = conservation(work, measures, scale)
-    summary = partition_summary(work, measures, scale)
+    sums = year_flag_sums(measured(df, measures, year_column, out["value"]), measures, scale).persist()  # a few rows
+    kept, summary = conservation(sums, measures), partition_summary(sums, measures)
     kept_rows = [r.asDict() for r in kept.orderBy("year").collect()]
     for r in kept_rows:
         if r["row_difference"]:

@@ -91,7 +91,7 @@ def reconcile(
     for side, df, value in (("left", left, left_value), ("right", right, right_value)):
         if missing := sorted({*keys, value} - set(df.columns)):
             raise ValueError(f"{side} is missing columns {missing}")
-    detail = compare(left, right, keys, left_value, right_value, absolute, relative, denominator, scale)
+    detail = compare(left, right, keys, left_value, right_value, absolute, relative, denominator, scale).persist()  # counted, sampled, and often written
     counts = {r["status"]: r["n"] for r in status_counts(detail).collect()}
     quality = {side: input_quality(df, keys, v).first().asDict() for side, df, v in (("left", left, left_value), ("right", right, right_value))}
     waived = {"duplicate_key_rows": duplicate_key_reason, "null_value_rows": null_value_reason}

@@ -137,9 +137,13 @@ def _work(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flags.measured(f, ["o_totalprice"], "year", flag(f["raw"])["value"])
 
 
+def _sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flags.year_flag_sums(_work(spark, sf_dir), ["o_totalprice"], scale=2)
+
+
 @query(_FLAGGED + 'select year, flag, count(*) as "rows", cast(sum(cast(o_totalprice as decimal(28,2))) as double) as o_totalprice from s where flag is not null group by 1, 2')
 def flag_partition_summary(spark, sf_dir):
-    return flags.partition_summary(_work(spark, sf_dir), ["o_totalprice"], scale=2)
+    return flags.partition_summary(_sums(spark, sf_dir), ["o_totalprice"])
 
 
 @query(
@@ -150,7 +154,7 @@ def flag_partition_summary(spark, sf_dir):
       cast(sum(case when flag is not null then cast(o_totalprice as decimal(28,2)) end) over (partition by year) as double) as p from s) group by year, a, p"""
 )
 def flag_conservation(spark, sf_dir):
-    return flags.conservation(_work(spark, sf_dir), ["o_totalprice"], scale=2)
+    return flags.conservation(_sums(spark, sf_dir), ["o_totalprice"])
 
 
 _URGENT = {"description": "urgent or high priority", "branches": [{"all": [{"column": "o_orderpriority", "operator": "starts_with", "value": "1-"}]}, {"all": [{"column": "o_orderpriority", "operator": "in", "value": ["2-high"]}]}]}
@@ -425,7 +429,7 @@ def coverage_value_stats(spark, sf_dir):
 
 @query(_COVERED + ", g as (select target_name, y, count(*) as n from w group by 1, 2 having count(*) > 1) select cast(coalesce(sum(n), 0) as bigint) as duplicate_rows from g")
 def coverage_duplicate_rows(spark, sf_dir):
-    return coverage.duplicate_key_rows(_covered(spark, sf_dir)[0], "y")
+    return coverage.duplicate_key_rows(coverage.cells(_covered(spark, sf_dir)[0], "y", "v"), "y")
 
 
 @query("select doc_id as unit from documents where doc_id not in (select doc_id from labels) and doc_id % 10 <> 0")
