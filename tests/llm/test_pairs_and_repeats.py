@@ -56,7 +56,7 @@ def same(got, expected):
     assert sorted(got, key=key) == sorted(expected, key=key)
 
 
-@pytest.mark.parametrize("k, percent, options", [(4, 85, {}), (5, 80, {}), (4, 85, {"hot": 2, "block": 3, "broadcast_rows": 0}), (2, 50, {"hot": 1, "max_hot": 5, "block": 2})])
+@pytest.mark.parametrize("k, percent, options", [(4, 85, {}), (5, 80, {}), (4, 85, {"hot": 2, "block": 3, "broadcast_rows": 0}), (4, 85, {"block_tokens": 300}), (2, 50, {"hot": 1, "max_hot": 5, "block": 2})])
 def test_linked_equals_brute_force(spark, k, percent, options):
     rows = documents()
     got = jaccard.linked(frame(spark, rows), k=k, percent=percent, **options).collect()
