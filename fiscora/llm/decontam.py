@@ -2,10 +2,12 @@
 
 A text becomes a template: numbers, units after numbers, and names (capitalised words within a sentence) turn into
 typed placeholders, other words are lower-cased and lose their punctuation.  Windows of `k` template words are hashed
-and joined with those of the benchmark.  A pair of document and item is a candidate when the document holds `share` or
-more of the item's distinct windows.  Where an item has placeholders, the slots are checked: in each alignment
-(difference of positions), equal slot values of the item must meet equal values in the document in `share` of its slots;
-only windows of consistent alignments count then, so re-parameterised copies stay and chance templates go.
+and joined with those of the benchmark, and so are windows of the plain lower-cased words, which are the same whatever
+the case and spacing of a copy; an item's window is held where either meets.  A pair of document and item is a candidate
+when the document holds `share` or more of the item's distinct windows.  Where an item has placeholders, the slots are
+checked: in each alignment (difference of positions), equal slot values of the item must meet equal values in the
+document in `share` of its slots; only windows of consistent alignments and plain copies of windows count then, so
+re-parameterised copies stay and chance templates go.
 
 Defined cases: null and empty texts hold no windows; a text of fewer than k words is one window; items without a
 window that holds an ordinary word are matched by nothing; repeated rows of an item count as one; repeated
@@ -75,31 +77,33 @@ def leaks(
         .filter(F.col("_item").isNotNull())
     )
     ordinary = F.transform("_tw", lambda w: ~w.rlike(_PLACE))
-    spots = items.select("_item", "_tw", "_vw", F.posexplode(windows(F.col("_tw"), k)).alias("_b", "_h"), ordinary.alias("_plain"))
+    both = F.arrays_zip(windows(F.col("_tw"), k).alias("h"), windows(F.col("_vw"), k).alias("g"))
+    spots = items.select("_item", "_tw", "_vw", F.posexplode(both).alias("_b", "_hg"), ordinary.alias("_plain"))
     spots = materialise(
-        spots.withColumn("_slots", F.exists(F.slice("_plain", F.col("_b") + 1, k), lambda x: ~x))
+        spots.select("*", F.col("_hg.h").alias("_h"), F.col("_hg.g").alias("_g")).withColumn("_slots", F.exists(F.slice("_plain", F.col("_b") + 1, k), lambda x: ~x))
         .filter(F.exists(F.slice("_plain", F.col("_b") + 1, k), lambda x: x))
-        .select("_item", "_b", "_h", "_slots", F.slice("_tw", F.col("_b") + 1, k).alias("_tw"), F.slice("_vw", F.col("_b") + 1, k).alias("_vw")), "leak-items"
+        .select("_item", "_b", "_h", "_g", "_slots", F.slice("_tw", F.col("_b") + 1, k).alias("_tw"), F.slice("_vw", F.col("_b") + 1, k).alias("_vw")), "leak-items"
     )
     totals = spots.groupBy("_item").agg(F.countDistinct("_h").alias("_total"), F.max("_slots").alias("_any"))
-    wanted = _small(materialise(spots.select("_item", "_h").distinct(), "leak-windows"), broadcast_rows)
+    wanted = _small(materialise(spots.select("_item", "_h", F.explode(F.array("_h", "_g")).alias("_k")).distinct(), "leak-windows"), broadcast_rows)
     # the words are a column of their own: inside the windows' lambda they would be made anew for each window
-    words = docs.select(F.col(id_col).alias("_doc"), template_words(F.col(text_col)).alias("_dt"))
-    held = words.select("_doc", F.explode(windows(F.col("_dt"), k)).alias("_w"))
-    hits = held.join(wanted, F.col("_w") == F.col("_h")).groupBy("_doc", "_item").agg(F.countDistinct("_h").alias("_matched"))
+    words = docs.select(F.col(id_col).alias("_doc"), template_words(F.col(text_col)).alias("_dt"), value_words(F.col(text_col)).alias("_dv"))
+    plain = F.when(F.col("_dt") == F.col("_dv"), F.array().cast("array<bigint>")).otherwise(windows(F.col("_dv"), k))
+    held = words.select("_doc", F.explode(F.concat(windows(F.col("_dt"), k), plain)).alias("_w"))
+    hits = held.join(wanted, F.col("_w") == F.col("_k")).groupBy("_doc", "_item").agg(F.countDistinct("_h").alias("_matched"))
     pairs = materialise(
         hits.join(totals, "_item").filter(F.col("_doc").isNotNull() & (F.col("_matched") >= F.lit(share) * F.col("_total"))), "leak-pairs"
     )
     sure, open_ = pairs.filter(~F.col("_any")), pairs.filter("_any")
     checked = _consistent(docs, spots, open_, k, share, id_col, text_col, broadcast_rows)
-    both = sure.select("_doc", "_item", "_matched", "_total").unionByName(checked)
-    return both.select(
+    every = sure.select("_doc", "_item", "_matched", "_total").unionByName(checked)
+    return every.select(
         F.col("_doc").alias(id_col), F.col("_item").alias(item_col), F.col("_matched").alias("matched"), F.col("_total").alias("windows"), (F.col("_matched") / F.col("_total")).alias("coverage")
     )
 
 
 def _consistent(docs: DataFrame, spots: DataFrame, pairs: DataFrame, k: int, share: float, id_col: str, text_col: str, broadcast_rows: int) -> DataFrame:
-    """Of the pairs, those whose windows in alignments of consistent slots are `share` of the item's windows."""
+    """Of the pairs, those whose plain copies and windows in alignments of consistent slots are `share` of the item's windows."""
     ids = _small(materialise(pairs.select(F.col("_doc").alias("_wanted")).distinct(), "leak-docs"), broadcast_rows)
     texts = docs.join(ids, F.col(id_col) == F.col("_wanted"), "left_semi").select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     words = texts.select("_doc", template_words(F.col("_text")).alias("_dt"), value_words(F.col("_text")).alias("_dv"))
@@ -114,7 +118,13 @@ def _consistent(docs: DataFrame, spots: DataFrame, pairs: DataFrame, k: int, sha
     counts = observed.groupBy("_doc", "_item", "_shift", F.col("_z._vw").alias("_v"), F.col("_z._dv").alias("_dv")).count()
     per_value = counts.groupBy("_doc", "_item", "_shift", "_v").agg(F.max("count").alias("_most"), F.sum("count").alias("_all"))
     bad = per_value.groupBy("_doc", "_item", "_shift").agg((F.sum("_most") < F.lit(share) * F.sum("_all")).alias("_bad")).filter("_bad")
-    kept = met.join(bad, ["_doc", "_item", "_shift"], "left_anti").groupBy("_doc", "_item").agg(F.countDistinct("_h").alias("_found"))
+    plain = words.select("_doc", F.explode(windows(F.col("_dv"), k)).alias("_w")).distinct()
+    copied = (
+        plain.join(spots.select(F.col("_item").alias("_i"), "_h", "_g").distinct(), F.col("_w") == F.col("_g"))
+        .join(pairs.select(F.col("_doc").alias("_d"), "_item"), (F.col("_doc") == F.col("_d")) & (F.col("_item") == F.col("_i")))
+    )
+    whole = met.join(bad, ["_doc", "_item", "_shift"], "left_anti").select("_doc", "_item", "_h").unionByName(copied.select("_doc", "_item", "_h"))
+    kept = whole.groupBy("_doc", "_item").agg(F.countDistinct("_h").alias("_found"))
     return (
         pairs.join(kept, ["_doc", "_item"]).filter(F.col("_found") >= F.lit(share) * F.col("_total"))
         .select("_doc", "_item", F.col("_found").alias("_matched"), "_total")

@@ -202,6 +202,16 @@ def test_slots_must_be_consistent(spark):
     assert sorted(r["doc_id"] for r in got) == [1, 3]
 
 
+def test_plain_copies_of_any_case_and_spacing(spark):
+    item = "A train leaves Paris at 10 and travels 120 km before it meets Anna near the old bridge"
+    bench = spark.createDataFrame([(1, item), (2, item.lower().replace("train", "tram"))], "item_id long, text string")
+    docs = [item.lower(), item.upper(), item.replace(" ", "  "), item.replace(" ", "\r\n"), item.replace("train", "tram"), item.lower().replace("paris", "rome").replace("10", "x")]
+    got = decontam.leaks(frame(spark, [(i, f"so. {t} the end") for i, t in enumerate(docs)]), bench).collect()
+    assert {(0, 1), (1, 1), (2, 1), (3, 1), (4, 2)} <= {(r["doc_id"], r["item_id"]) for r in got} and 5 not in {r["doc_id"] for r in got}
+    assert all(r["coverage"] == 1 for r in got if (r["doc_id"] < 4 and r["item_id"] == 1))
+    assert len(got) == len({(r["doc_id"], r["item_id"]) for r in got})
+
+
 def test_templates(spark):
     df = spark.createDataFrame([("He ran 5 km, 3.5kg and 1,000 to Paris. Then",), (None,), ("  \t",), ("ALL CAPS 7",)], "t string")
     rows = df.select(decontam.template_words(df.t).alias("a"), decontam.value_words(df.t).alias("b")).collect()
