@@ -3,8 +3,9 @@
 Labelled credentials (values that the base patterns find in a bounded sample, and a seeded set of public token
 formats) are put into one prefix tree per kind.  States whose outgoing frequencies are statistically compatible
 (Hoeffding's bound, at every depth below them) are merged, breadth first, which gives a probabilistic automaton.
-Every candidate token of every text is scored by the mean log-likelihood ratio a character of the best automaton
-against a character model of ordinary tokens; above the margin it is a span of kind `format`.
+Every candidate token of every text, or each piece of it that base spans leave, is scored by the mean log-likelihood
+ratio a character of the best automaton against a character model of ordinary tokens; above the margin it is a span of
+kind `format`.
 
 Defined cases: a null or empty text has no spans; base spans are always kept, format spans lie outside of them;
 equal rows give equal results; an empty table gives an empty result; other columns are ignored.
@@ -35,6 +36,9 @@ _RUN = re.compile(r"[A-Za-z0-9]{12,}")
 #: Shorter values are no labelled examples of a format.
 SPAN_MIN = 16
 
+#: Marks that may join a token to a base span.
+JOINTS = frozenset("+/_=.-")
+
 Span = tuple[int, int, str]
 
 
@@ -195,6 +199,17 @@ class Ordinary:
         return total
 
 
+def _outside(a: int, b: int, taken: list[tuple[int, int]], i: int) -> Iterator[tuple[int, int]]:
+    """The pieces of a to b, of SPAN_MIN characters or more, outside of the sorted spans from the i-th on."""
+    while i < len(taken) and taken[i][0] < b:
+        if taken[i][0] - a >= SPAN_MIN:
+            yield a, taken[i][0]
+        a = max(a, taken[i][1])
+        i += 1
+    if b - a >= SPAN_MIN:
+        yield a, b
+
+
 class FormatModel:
     def __init__(self, automata: list[Automaton], ordinary: Ordinary, margin: float):
         self.automata, self.ordinary, self.margin = automata, ordinary, margin
@@ -211,11 +226,14 @@ class FormatModel:
             a, b = m.span()
             while i < len(taken) and taken[i][1] <= a:
                 i += 1
-            if i < len(taken) and taken[i][0] < b:
-                continue
-            token = m.group()
-            if self.ratio(token.rstrip(".")) >= self.margin:
-                found.append((a, a + len(token.rstrip(".")), "format"))
+            for p, q in _outside(a, b, taken, i):
+                # a mark beside a base span may be a joint or a part of the token: without it first, then with it
+                cut = p + (p > a and text[p] in JOINTS), q - (q < b and text[q - 1] in JOINTS)
+                for x, y in dict.fromkeys((cut, (p, q))):
+                    token = text[x:y].rstrip(".")
+                    if token and self.ratio(token) >= self.margin:
+                        found.append((x, x + len(token), "format"))
+                        break
         return found
 
 
