@@ -7,8 +7,9 @@ The field is trained on labelled pages and decoded by Viterbi; the text of block
 Labelled pages are made by `labelled_pages`, a seeded generator of page layouts whose blocks are known to be content
 or not; callers may pass pages of their own.
 
-Defined cases: null html is empty; scripts, styles, comments and other raw elements hold no text; unclosed and stray
-tags, cut-off tags and cut-off character references are taken as browsers take them; no content gives an empty text.
+Defined cases: null html is empty; scripts, styles, comments and other raw elements hold no text; svg and object are
+elements like others, math is inline text, and self-closing counts in svg and object; unclosed and stray tags, cut-off
+tags and cut-off character references are taken as browsers take them; no content gives an empty text.
 """
 
 from __future__ import annotations
@@ -26,14 +27,19 @@ from .common import bounded_batches
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea title head".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style noscript template iframe textarea title".split())
+MATH = frozenset(
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mglyph mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup textpath time tspan tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|<|[^<]+", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ROLE_WORD = re.compile(r"[a-z]+")
+#: The slash of an unquoted attribute value closes nothing.
+_OPEN_SLASH = re.compile(r"=\s*[^\s\"'>]*/>\Z")
 
 
 class Block:
@@ -59,6 +65,15 @@ def leaf_blocks(page: str) -> list[Block]:
             blocks.append(Block(tuple(dict.fromkeys(path)), text, min(links, len(text))))
         links = 0
 
+    def in_svg() -> bool:
+        """Whether the innermost element is of svg: HTML's own blocks and foreignObject hold HTML again."""
+        for name, _ in reversed(stack):
+            if name == "svg":
+                return True
+            if name == "foreignobject" or name in CLOSES_P:
+                return False
+        return False
+
     def pop_to(name: str, stop: frozenset = frozenset()) -> None:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == name:
@@ -81,7 +96,11 @@ def leaf_blocks(page: str) -> list[Block]:
         tag, closing = name.group(1).lower(), tok[1] == "/"
         if tok[-1] != ">" and pos >= end:
             break  # a cut-off tag holds nothing
-        if not closing and tag in RAW and tag != "head":
+        if not closing and tok.endswith("/>") and not _OPEN_SLASH.search(tok) and (tag in ("svg", "object") or (tag not in CLOSES_P and in_svg())):
+            if tag not in INLINE:
+                flush()
+            continue
+        if not closing and tag in RAW and not (tag == "title" and in_svg()):
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = close.end() if close else end
             if tag not in INLINE:

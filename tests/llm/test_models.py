@@ -247,6 +247,21 @@ def test_blocks():
     assert [b.text for b in found] == ["a", "b c", "de", "tail link".replace(" ", "")] and "w:main" in found[0].path and "w:x" in found[1].path and found[3].links == 4
 
 
+def test_svg_math_and_object_drop_no_text(field):
+    article = "<p>First of the words, all of them here.</p><p>Then comes one more sentence.</p>"
+    text = "First of the words, all of them here. Then comes one more sentence."
+    for odd in ("<svg class='icon'/>", "<math/>", '<object data="x"/>', "<svg><path d='M0'/><style/><title/></svg>", "<svg><defs><style>p{}</style></defs><g><path/></g></svg>", '<object data="a"><param name="b"></object>'):
+        for page in (f"<body>{odd}<article>{article}</article></body>", f"<article>{odd}{article}</article>", f"<article>{article.replace('</p><p>', '</p>' + odd + '<p>')}</article>"):
+            assert html_main.main_text(page, field) == text, page
+            assert html_main.main_text(page + "<footer><svg></svg><math></math><object></object>&copy; x</footer>", field) == text, page
+    formula = "<article><p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, as <math display='block'/>said before.</p></article>"
+    assert html_main.main_text(formula, field) == "Here x=1 holds, as said before."
+    nested = html_main.leaf_blocks("<div>a<svg><svg/><g><text>b <tspan>c</tspan></text></g></svg>d<object>e<object>f</object>g</object>h<svg class=icon/>i</svg>j</div>")
+    assert [b.text for b in nested] == ["a", "b c", "d", "e", "f", "g", "h", "i", "j"]
+    assert ["t:svg" in b.path for b in nested] == [False, True, False, False, False, False, False, True, False] and all("t:div" in b.path for b in nested)
+    assert [b.text for b in html_main.leaf_blocks("a<script/>b</script>c<textarea/>d</textarea>e")] == ["a", "c", "e"]
+
+
 def test_extract(spark, field):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", PAGE)]
     df = spark.createDataFrame([(*r, 1, "t") for r in rows], "page_id long, url string, html string, n_chars long, text string")
