@@ -258,6 +258,25 @@ def test_pipeline(spark, tmp_path):
     assert {r["doc_id"] for r in final.collect()} == {r["doc_id"] for r in fourth.collect()}
 
 
+def test_rows_of_one_id_are_judged_each(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rnd = random.Random(3)
+    a, b, c, d, item = (" ".join(words(rnd, 60)) for _ in range(5))
+    rows = [(3, a), (5, b), (5, a), (7, c), (7, c + " x"), (7, c), (8, d), (8, d), (9, c), (None, a), (None, a)]
+    for seed in range(2):
+        rnd.shuffle(rows)
+        kept = cp.near_duplicate_stage(spark, frame(spark, rows), str(tmp_path)).select("doc_id", "text").collect()
+        got = Counter(map(tuple, kept))
+        of7 = [t for i, t in got if i == 7]
+        assert len(of7) == 1 and of7[0] in (c, c + " x") and (not seed or of7 == first)
+        first = of7
+        assert got == Counter([(3, a), (5, b), (7, of7[0]), (8, d), (None, a), (None, a)])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    mixed = frame(spark, [(5, b), (5, "so " + item), (None, item), (None, a)])
+    assert Counter(tuple(r)[:2] for r in cp.decontamination_stage(spark, mixed, str(tmp_path)).collect()) == Counter([(5, b), (None, a)])
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     import corpus_pipeline as cp
 
