@@ -7,7 +7,6 @@ hashed with numpy in chunks of bounded size, so memory does not follow the batch
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -36,10 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir.
+
+    Where it is unset, only a local session (one process, which has a single disk) gets a folder of its own; a cluster
+    raises, as no folder of one machine can be shared.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="fiscora-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is unset: tables between stages need a folder that all executors share")
+        root = f"file://{spark._jvm.System.getProperty('java.io.tmpdir')}/fiscora-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 

@@ -1,66 +1,98 @@
 """Benchmark decontamination by template windows, with DataFrame functions only.
 
-A text becomes a template: numbers, units after numbers, and names (capitalised words within a sentence) turn into
-typed placeholders, other words are lower-cased and lose their punctuation.  Windows of `k` template words are hashed
-and joined with those of the benchmark, and so are windows of the plain lower-cased words, which are the same whatever
-the case and spacing of a copy; an item's window is held where either meets.  A pair of document and item is a candidate
-when the document holds `share` or more of the item's distinct windows.  Where an item has placeholders, the slots are
-checked: in each alignment (difference of positions), equal slot values of the item must meet equal values in the
-document in `share` of its slots; only windows of consistent alignments and plain copies of windows count then, so
-re-parameterised copies stay and chance templates go.
-
-Defined cases: null and empty texts hold no windows; a text of fewer than k words is one window; items without a
-window that holds an ordinary word are matched by nothing; repeated rows of an item count as one; repeated
-rows of a document give equal rows once; an empty table gives an empty result; other columns are ignored.
+A text has three readings, word by word: the plain one (lower-cased, without punctuation), the template (numbers, units
+after numbers, and capitalised words within a sentence are typed placeholders), and the open template, where capitalised
+words that start a sentence are names too.  Windows of `k` words of all three are hashed and joined with the benchmark's;
+an item's window is held where one of its readings is met.  In a template, windows count that hold an ordinary word; a
+window of placeholders alone is known by its plain words only.  An item of fewer than k words is one window of its own
+length, looked for in every text; its template counts with two ordinary words or more.
+
+A pair of document and item is a candidate when the document holds `share` or more of the item's distinct windows.  Of
+these, plain copies of windows stand by themselves.  Template windows stand only in consistent alignments (differences of
+position): over the slots that an alignment meets, equal values of the item must meet equal values of the document, and
+equal values of the document those of the item, in `share` of the slots either way.  The pair is a leak when the windows
+that stand are `share` of the item's.  So re-parameterised copies are found and chance templates are not.
+
+Defined cases: null texts and texts without a word hold no windows, and such items are matched by nothing; repeated rows
+of an item count as one; rows that repeat an id with different texts are judged each by its own text, and the pair is
+returned once with the largest count; rows of null ids (document or item) give none; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
 
-# Private-use characters as placeholders, and units of measure.
-NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
+# Private-use characters as placeholders and as a mark of capitalised words at a sentence start, and units.
+NUMBER, UNIT, NAME, START = "\ue001", "\ue002", "\ue003", "\ue004"
 UNITS = "kg|g|mg|lb|lbs|oz|t|km|m|cm|mm|mi|ft|in|l|ml|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|miles?|meters?|metres?|dollars?|euros?|cents?|percent|degrees?|kmh|mph|w|kw|v|hz"
-#: A number stands alone, or before a unit; digits within a word are a part of the word.
-_DIGITS = r"(?<![\p{L}\p{N}])\p{Nd}+(?:[.,:/-]\p{Nd}+)*(?=(?i:" + UNITS + r")?(?![\p{L}\p{N}]))"
+_END = r"(?![\p{L}\p{N}])"
+#: A number stands alone, or before a unit; digits within a word are a part of the word.  The rarest test comes first.
+_DIGITS = r"\p{Nd}(?<![\p{L}\p{N}]\p{Nd})\p{Nd}*(?:[.,:/-]\p{Nd}+)*(?=(?i:" + UNITS + r")?(?![\p{L}\p{N}]))"
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] \p{Lu})\p{Ll}+" + _END
+_CAPITAL = r"(\p{Lu}(?<![\p{L}\p{N}]\p{Lu})\p{Ll}+)" + _END
 _PLACE = f"[{NUMBER}{UNIT}{NAME}]"
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, " "), lambda w: w != "")
+    """Lower-cased words of letters, numbers and placeholders."""
+    stripped = F.regexp_replace(F.lower(text), f"[^\\p{{L}}\\p{{N}}{NUMBER}-{NAME} ]+", "")
+    return F.filter(F.split(stripped, " "), lambda w: w != "")
 
 
 def _plain(text: Column) -> Column:
-    return F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NUMBER}-{NAME}]", ""), "\t\n\x0b\x0c\r", "     ")
+    return F.translate(F.coalesce(text, F.lit("")), f"\t\n\x0b\x0c\r{NUMBER}{UNIT}{NAME}{START}", "     ")
+
+
+def _marked(text: Column) -> Column:
+    """The text with placeholders, and with a mark before each capitalised word that starts a sentence."""
+    t = F.regexp_replace(_plain(text), _NAME, NAME)
+    t = F.regexp_replace(t, _CAPITAL, START + "$1")
+    t = F.regexp_replace(t, _DIGITS, NUMBER)
+    return F.regexp_replace(t, f"(?i)(?<={NUMBER} ?)(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", UNIT)
 
 
-def _stripped(text: Column) -> Column:
-    return F.regexp_replace(F.lower(text), f"[^\\p{{L}}\\p{{N}}{NUMBER}-{NAME} ]+", "")
+def _strict(marked: Column) -> Column:
+    return _words(F.translate(marked, START, ""))
+
+
+def _open(marked: Column) -> Column:
+    return _words(F.regexp_replace(marked, START + r"\p{Lu}\p{Ll}+", NAME))
 
 
 def template_words(text: Column) -> Column:
     """Template words of a text, one for each word of `value_words`."""
-    t = F.regexp_replace(_plain(text), r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", NAME)
-    t = F.regexp_replace(t, _DIGITS, NUMBER)
-    t = F.regexp_replace(t, f"(?i)(?<={NUMBER} ?)(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", UNIT)
-    return _words(_stripped(t))
+    return _strict(_marked(text))
+
+
+def open_template_words(text: Column) -> Column:
+    """The same, with capitalised words at a sentence start as names."""
+    return _open(_marked(text))
 
 
 def value_words(text: Column) -> Column:
-    return _words(_stripped(_plain(text)))
+    return _words(_plain(text))
 
 
-def windows(words: Column, k: int) -> Column:
-    """Hashes of the windows of k words, in order."""
-    size = F.size(words)
-    return (
-        F.when(size >= k, F.transform(F.sequence(F.lit(1), size - (k - 1)), lambda i: F.xxhash64(F.slice(words, i, k))))
-        .when(size > 0, F.array(F.xxhash64(words)))
-        .otherwise(F.array().cast("array<bigint>"))
-    )
+def hashes(words: Column) -> Column:
+    """A hash of each word.  Windows are hashed from these, which costs a fifth of cutting the words out."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def window(hashed: Column, at: Column, k: int) -> Column:
+    """Hash of the k words from the place `at` (from 0) on; places beyond the end add nothing."""
+    return F.xxhash64(*[F.get(hashed, at + j) for j in range(k)])
+
+
+def windows(hashed: Column, k: int) -> Column:
+    """Hashes of the windows of k words, in order, from a column of word hashes; fewer words have none."""
+    every = F.transform(hashed, lambda _, i: window(hashed, i, k))
+    return F.when(F.size(hashed) >= k, F.slice(every, 1, F.size(hashed) - (k - 1))).otherwise(F.array().cast("array<bigint>"))
 
 
 def _small(df: DataFrame, most: int) -> DataFrame:
@@ -68,64 +100,92 @@ def _small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+#: Readings: plain words, template, open template; and their word hashes.
+READINGS, HASHED = ("_v", "_t", "_o"), ("_hv", "_ht", "_ho")
+
+
+def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_doc, _text_key, the readings, their word hashes), columns of their own so that lambdas do not make them anew."""
+    marked = docs.select(F.col(id_col).alias("_doc"), F.xxhash64(F.col(text_col)).alias("_text_key"), F.col(text_col).alias("_text"), _marked(F.col(text_col)).alias("_m"))
+    words = marked.select("_doc", "_text_key", value_words(F.col("_text")).alias("_v"), _strict(F.col("_m")).alias("_t"), _open(F.col("_m")).alias("_o"))
+    return words.select("*", *[hashes(F.col(c)).alias(h) for c, h in zip(READINGS, HASHED)])
+
+
+def _item_windows(benchmark: DataFrame, k: int, item_col: str, text_col: str) -> DataFrame:
+    """A row for each window of each item and each reading that counts: its hash, place, length and words.
+
+    _g names the window: the hash of its plain words.
+    """
+    items = _read(benchmark.filter(F.col(item_col).isNotNull()), item_col, text_col).filter(F.size("_v") > 0)
+    span = F.least(F.size("_v"), F.lit(k))
+    placed = items.select("*", span.alias("_k"), F.explode(F.sequence(F.lit(0), F.size("_v") - span)).alias("_b"))
+    cut = placed.select(
+        F.col("_doc").alias("_item"), "_b", "_k", *[F.slice(c, F.col("_b") + 1, F.col("_k")).alias(c) for c in READINGS], *[window(F.col(h), F.col("_b"), k).alias(h) for h in HASHED]
+    ).withColumn("_g", F.col("_hv"))
+    ordinary = lambda c: F.size(F.filter(c, lambda w: ~w.rlike(_PLACE)))
+    rows = [cut.select("_item", "_b", "_k", "_g", F.col("_hv").alias("_h"), F.lit(False).alias("_slots"), F.col("_v").alias("_w"), "_v")]
+    for c, h in zip(READINGS[1:], HASHED[1:]):
+        counts = (F.size(c) > ordinary(F.col(c))) & (ordinary(F.col(c)) >= F.when(F.col("_k") < k, 2).otherwise(1))
+        rows.append(cut.filter(counts).select("_item", "_b", "_k", "_g", F.col(h).alias("_h"), F.lit(True).alias("_slots"), F.col(c).alias("_w"), "_v"))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, k: int = 5, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_rows: int = 200_000
 ) -> DataFrame:
     """(id, item id, matched, windows, coverage) of every pair of a document and an item it leaks."""
-    items = (
-        benchmark.select(F.col(item_col).alias("_item"), template_words(F.col(item_text_col)).alias("_tw"), value_words(F.col(item_text_col)).alias("_vw"))
-        .filter(F.col("_item").isNotNull())
-    )
-    ordinary = F.transform("_tw", lambda w: ~w.rlike(_PLACE))
-    both = F.arrays_zip(windows(F.col("_tw"), k).alias("h"), windows(F.col("_vw"), k).alias("g"))
-    spots = items.select("_item", "_tw", "_vw", F.posexplode(both).alias("_b", "_hg"), ordinary.alias("_plain"))
-    spots = materialise(
-        spots.select("*", F.col("_hg.h").alias("_h"), F.col("_hg.g").alias("_g")).withColumn("_slots", F.exists(F.slice("_plain", F.col("_b") + 1, k), lambda x: ~x))
-        .filter(F.exists(F.slice("_plain", F.col("_b") + 1, k), lambda x: x))
-        .select("_item", "_b", "_h", "_g", "_slots", F.slice("_tw", F.col("_b") + 1, k).alias("_tw"), F.slice("_vw", F.col("_b") + 1, k).alias("_vw")), "leak-items"
-    )
-    totals = spots.groupBy("_item").agg(F.countDistinct("_h").alias("_total"), F.max("_slots").alias("_any"))
-    wanted = _small(materialise(spots.select("_item", "_h", F.explode(F.array("_h", "_g")).alias("_k")).distinct(), "leak-windows"), broadcast_rows)
-    # the words are a column of their own: inside the windows' lambda they would be made anew for each window
-    words = docs.select(F.col(id_col).alias("_doc"), template_words(F.col(text_col)).alias("_dt"), value_words(F.col(text_col)).alias("_dv"))
-    plain = F.when(F.col("_dt") == F.col("_dv"), F.array().cast("array<bigint>")).otherwise(windows(F.col("_dv"), k))
-    held = words.select("_doc", F.explode(F.concat(windows(F.col("_dt"), k), plain)).alias("_w"))
-    hits = held.join(wanted, F.col("_w") == F.col("_k")).groupBy("_doc", "_item").agg(F.countDistinct("_h").alias("_matched"))
-    pairs = materialise(
-        hits.join(totals, "_item").filter(F.col("_doc").isNotNull() & (F.col("_matched") >= F.lit(share) * F.col("_total"))), "leak-pairs"
-    )
-    sure, open_ = pairs.filter(~F.col("_any")), pairs.filter("_any")
-    checked = _consistent(docs, spots, open_, k, share, id_col, text_col, broadcast_rows)
-    every = sure.select("_doc", "_item", "_matched", "_total").unionByName(checked)
-    return every.select(
-        F.col("_doc").alias(id_col), F.col("_item").alias(item_col), F.col("_matched").alias("matched"), F.col("_total").alias("windows"), (F.col("_matched") / F.col("_total")).alias("coverage")
+    spots = materialise(_item_windows(benchmark, k, item_col, item_text_col).distinct(), "leak-items")
+    #: lengths of windows: k, and those under k that an item has
+    spans = sorted({k} | {r["_k"] for r in spots.select("_k").distinct().collect()})
+    totals = spots.groupBy("_item").agg(F.countDistinct("_g").alias("_total"))
+    wanted = _small(materialise(spots.select("_item", "_g", "_h").distinct(), "leak-windows"), broadcast_rows)
+    read = _read(docs.filter(F.col(id_col).isNotNull()), id_col, text_col).select("_doc", "_text_key", *HASHED)
+    none = F.array().cast("array<bigint>")
+    # a reading that is the same as another adds nothing
+    every = [windows(F.col("_hv"), s) for s in spans] + [F.when(F.col(a) == F.col(b), none).otherwise(windows(F.col(a), s)) for s in spans for a, b in (("_ht", "_hv"), ("_ho", "_ht"))]
+    held = read.select("_doc", "_text_key", F.explode(F.concat(*every)).alias("_w"))
+    hits = held.join(wanted, F.col("_w") == F.col("_h")).groupBy("_doc", "_text_key", "_item").agg(F.countDistinct("_g").alias("_matched"))
+    enough = lambda c: F.col(c) >= F.lit(share) * F.col("_total")
+    pairs = materialise(hits.join(totals, "_item").filter(enough("_matched")).select("_doc", "_text_key", "_item", "_total"), "leak-pairs")
+    found = _standing(docs, spots, pairs, spans, share, id_col, text_col, broadcast_rows)
+    kept = pairs.join(found, ["_doc", "_text_key", "_item"]).filter(enough("_found"))
+    best = kept.groupBy("_doc", "_item").agg(F.max("_found").alias("_found"), F.first("_total").alias("_total"))
+    return best.select(
+        F.col("_doc").alias(id_col), F.col("_item").alias(item_col), F.col("_found").alias("matched"), F.col("_total").alias("windows"), (F.col("_found") / F.col("_total")).alias("coverage")
     )
 
 
-def _consistent(docs: DataFrame, spots: DataFrame, pairs: DataFrame, k: int, share: float, id_col: str, text_col: str, broadcast_rows: int) -> DataFrame:
-    """Of the pairs, those whose plain copies and windows in alignments of consistent slots are `share` of the item's windows."""
-    ids = _small(materialise(pairs.select(F.col("_doc").alias("_wanted")).distinct(), "leak-docs"), broadcast_rows)
-    texts = docs.join(ids, F.col(id_col) == F.col("_wanted"), "left_semi").select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    words = texts.select("_doc", template_words(F.col("_text")).alias("_dt"), value_words(F.col("_text")).alias("_dv"))
-    places = words.select("_doc", "_dv", F.posexplode(windows(F.col("_dt"), k)).alias("_p", "_w"))
+def _standing(docs: DataFrame, spots: DataFrame, pairs: DataFrame, spans: list[int], share: float, id_col: str, text_col: str, broadcast_rows: int) -> DataFrame:
+    """(_doc, _text_key, _item, _found): how many of the item's windows stand in the text, of the candidate pairs.
+
+    Only places that meet a window with slots are aligned, and only in texts and with items of candidate pairs, so rows
+    are places of a template window in the text times its places in the item.
+    """
+    ids = _small(materialise(pairs.select(F.col("_doc").alias("_a"), F.col("_text_key").alias("_b")).distinct(), "leak-docs"), broadcast_rows)
+    texts = docs.join(ids, (F.col(id_col) == F.col("_a")) & (F.xxhash64(F.col(text_col)) == F.col("_b")), "left_semi")
+    words = materialise(_read(texts, id_col, text_col).distinct(), "leak-words")
+    key, pair = ["_doc", "_text_key"], ["_doc", "_text_key", "_item"]
+    plain = words.select(*key, F.explode(F.array_distinct(F.concat(*[windows(F.col("_hv"), s) for s in spans]))).alias("_h"))
+    bare = spots.filter("not _slots").select("_item", "_g", "_h").distinct()
+    copied = plain.join(bare, "_h").join(pairs.select(*pair), pair, "left_semi").select(*pair, "_g")
+    both = [words.select(*key, F.posexplode(windows(F.col(c), s)).alias("_p", "_h")) for s in spans for c in HASHED[1:]]
+    places = reduce(DataFrame.unionByName, both).distinct()
+    slotted = spots.filter("_slots").select("_item", "_b", "_k", "_g", "_h", "_w", "_v")
     met = (
-        places.join(spots, F.col("_w") == F.col("_h")).join(pairs.select(F.col("_doc").alias("_d"), F.col("_item").alias("_i")), (F.col("_doc") == F.col("_d")) & (F.col("_item") == F.col("_i")))
-        .select("_doc", "_item", "_h", "_slots", (F.col("_p") - F.col("_b")).alias("_shift"), "_b", F.slice("_dv", F.col("_p") + 1, k).alias("_dv"), "_tw", "_vw")
-        .distinct()
-    )
-    slot = F.filter(F.arrays_zip("_tw", "_vw", "_dv"), lambda z: z["_tw"].rlike(_PLACE))
-    observed = met.filter("_slots").select("_doc", "_item", "_shift", F.explode(slot).alias("_z"))
-    counts = observed.groupBy("_doc", "_item", "_shift", F.col("_z._vw").alias("_v"), F.col("_z._dv").alias("_dv")).count()
-    per_value = counts.groupBy("_doc", "_item", "_shift", "_v").agg(F.max("count").alias("_most"), F.sum("count").alias("_all"))
-    bad = per_value.groupBy("_doc", "_item", "_shift").agg((F.sum("_most") < F.lit(share) * F.sum("_all")).alias("_bad")).filter("_bad")
-    plain = words.select("_doc", F.explode(windows(F.col("_dv"), k)).alias("_w")).distinct()
-    copied = (
-        plain.join(spots.select(F.col("_item").alias("_i"), "_h", "_g").distinct(), F.col("_w") == F.col("_g"))
-        .join(pairs.select(F.col("_doc").alias("_d"), "_item"), (F.col("_doc") == F.col("_d")) & (F.col("_item") == F.col("_i")))
-    )
-    whole = met.join(bad, ["_doc", "_item", "_shift"], "left_anti").select("_doc", "_item", "_h").unionByName(copied.select("_doc", "_item", "_h"))
-    kept = whole.groupBy("_doc", "_item").agg(F.countDistinct("_h").alias("_found"))
-    return (
-        pairs.join(kept, ["_doc", "_item"]).filter(F.col("_found") >= F.lit(share) * F.col("_total"))
-        .select("_doc", "_item", F.col("_found").alias("_matched"), "_total")
+        places.join(slotted, "_h").join(pairs.select(*pair), pair, "left_semi")
+        .join(words.select(*key, F.col("_v").alias("_dv")), key)
+        .select(*pair, (F.col("_p") - F.col("_b")).alias("_shift"), "_b", "_g", "_w", "_v", F.slice("_dv", F.col("_p") + 1, F.col("_k")).alias("_dv"))
     )
+    met = materialise(met, "leak-met")
+    at = F.explode(F.arrays_zip(F.transform("_w", lambda w, i: F.col("_b") + i).alias("at"), F.col("_w").alias("w"), F.col("_v").alias("v"), F.col("_dv").alias("d"))).alias("_z")
+    slots = met.select(*pair, "_shift", at).filter(F.col("_z.w").rlike(_PLACE)).select(*pair, "_shift", F.col("_z.at").alias("_at"), F.col("_z.v").alias("_iv"), F.col("_z.d").alias("_tv")).distinct()
+    counts = slots.groupBy(*pair, "_shift", "_iv", "_tv").agg(F.count("*").alias("_n"))
+
+    def agreeing(value: str) -> DataFrame:
+        """Slots of each alignment, and those whose value of one side meets its most frequent counterpart."""
+        most = counts.groupBy(*pair, "_shift", value).agg(F.max("_n").alias("_most"), F.sum("_n").alias("_all"))
+        return most.groupBy(*pair, "_shift").agg((F.sum("_most") >= F.lit(share) * F.sum("_all")).alias(f"_ok{value}"))
+
+    fine = agreeing("_iv").join(agreeing("_tv"), [*pair, "_shift"]).filter("_ok_iv and _ok_tv").select(*pair, "_shift")
+    templated = met.join(fine, [*pair, "_shift"], "left_semi").select(*pair, "_g")
+    return copied.unionByName(templated).groupBy(*pair).agg(F.countDistinct("_g").alias("_found"))
