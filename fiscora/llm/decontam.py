@@ -1,11 +1,12 @@
 """Benchmark decontamination by template windows, with DataFrame functions only.
 
-A text has three readings, word by word: the plain one (lower-cased, without punctuation), the template (numbers, units
-after numbers, and capitalised words within a sentence are typed placeholders), and the open template, where capitalised
-words that start a sentence are names too.  Windows of `k` words of all three are hashed and joined with the benchmark's;
-an item's window is held where one of its readings is met.  In a template, windows count that hold an ordinary word; a
-window of placeholders alone is known by its plain words only.  An item of fewer than k words is one window of its own
-length, looked for in every text; its template counts with two ordinary words or more.
+A text has two readings, word by word: the plain one (lower-cased, without punctuation) and the template, where numbers,
+units after numbers, and names (capitalised words) are typed placeholders.  Windows of `k` words of both are hashed and
+joined with the benchmark's; an item's window is held where one of its readings is met.  As a capitalised word may be an
+ordinary one that starts a sentence, an item has two more readings: a template that leaves words at a sentence start as
+they are, and one that takes its first word the other way.  A template window counts where it holds an ordinary word; a
+window of placeholders alone is known by its plain words.  An item of fewer than k words is one window of its own length,
+looked for in every text; its template counts with two ordinary words or more.
 
 A pair of document and item is a candidate when the document holds `share` or more of the item's distinct windows.  Of
 these, plain copies of windows stand by themselves.  Template windows stand only in consistent alignments (differences of
@@ -28,55 +29,63 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-# Private-use characters as placeholders and as a mark of capitalised words at a sentence start, and units.
-NUMBER, UNIT, NAME, START = "\ue001", "\ue002", "\ue003", "\ue004"
+# Private-use characters that mark numbers, units, names and capitalised words at a sentence start; units.
+NUMBER, UNIT, NAME, START = "", "", "", ""
 UNITS = "kg|g|mg|lb|lbs|oz|t|km|m|cm|mm|mi|ft|in|l|ml|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|miles?|meters?|metres?|dollars?|euros?|cents?|percent|degrees?|kmh|mph|w|kw|v|hz"
 _END = r"(?![\p{L}\p{N}])"
-#: A number stands alone, or before a unit; digits within a word are a part of the word.  The rarest test comes first.
-_DIGITS = r"\p{Nd}(?<![\p{L}\p{N}]\p{Nd})\p{Nd}*(?:[.,:/-]\p{Nd}+)*(?=(?i:" + UNITS + r")?(?![\p{L}\p{N}]))"
-_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] \p{Lu})\p{Ll}+" + _END
-_CAPITAL = r"(\p{Lu}(?<![\p{L}\p{N}]\p{Lu})\p{Ll}+)" + _END
+# In these patterns the rarest test comes first, as they run over whole texts.  Digits within a word are a part of it.
+_DIGITS = r"\p{Nd}+(?:[.,:/-]\p{Nd}+)*"
+_NUMBER = r"\p{Nd}(?<![\p{L}\p{N}]\p{Nd})\p{Nd}*(?:[.,:/-]\p{Nd}+)*(?=(?i:" + UNITS + f")?{_END})"
+_MEASURE = f"({NUMBER}{_DIGITS} ?)((?i:{UNITS})){_END}"
+_INNER_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] \p{Lu})\p{Ll}+" + _END
+_CAPITAL = r"\p{Lu}(?<![\p{L}\p{N}" + NAME + r"]\p{Lu})\p{Ll}+" + _END
 _PLACE = f"[{NUMBER}{UNIT}{NAME}]"
 
 
-def _words(text: Column) -> Column:
-    """Lower-cased words of letters, numbers and placeholders."""
-    stripped = F.regexp_replace(F.lower(text), f"[^\\p{{L}}\\p{{N}}{NUMBER}-{NAME} ]+", "")
-    return F.filter(F.split(stripped, " "), lambda w: w != "")
-
-
 def _plain(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), f"\t\n\x0b\x0c\r{NUMBER}{UNIT}{NAME}{START}", "     ")
 
 
-def _marked(text: Column) -> Column:
-    """The text with placeholders, and with a mark before each capitalised word that starts a sentence."""
-    t = F.regexp_replace(_plain(text), _NAME, NAME)
-    t = F.regexp_replace(t, _CAPITAL, START + "$1")
-    t = F.regexp_replace(t, _DIGITS, NUMBER)
-    return F.regexp_replace(t, f"(?i)(?<={NUMBER} ?)(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", UNIT)
-
+def _marked(text: Column, starts: bool = False) -> Column:
+    """The lower-cased text without punctuation, with a mark before each number, unit and name.
 
-def _strict(marked: Column) -> Column:
-    return _words(F.translate(marked, START, ""))
+    starts: capitalised words at a sentence start have a mark of their own.
+    """
+    t = _plain(text)
+    if starts:
+        t = F.regexp_replace(t, _INNER_NAME, NAME + "$0")
+    t = F.regexp_replace(t, _CAPITAL, (START if starts else NAME) + "$0")
+    t = F.regexp_replace(t, _NUMBER, NUMBER + "$0")
+    t = F.regexp_replace(t, _MEASURE, "$1" + UNIT + "$2")
+    return F.regexp_replace(F.lower(t), f"[^a-z \\p{{L}}\\p{{N}}{NUMBER}-{START}]+", "")
 
 
-def _open(marked: Column) -> Column:
-    return _words(F.regexp_replace(marked, START + r"\p{Lu}\p{Ll}+", NAME))
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, " "), lambda w: w != "")
 
 
-def template_words(text: Column) -> Column:
-    """Template words of a text, one for each word of `value_words`."""
-    return _strict(_marked(text))
+def _values(marked: Column) -> Column:
+    """Plain words of a marked text."""
+    return _words(F.translate(marked, NUMBER + UNIT + NAME + START, ""))
 
 
-def open_template_words(text: Column) -> Column:
-    """The same, with capitalised words at a sentence start as names."""
-    return _open(_marked(text))
+def _template(marked: Column) -> Column:
+    """Template words of a text marked without `starts`: what follows a mark, up to the next or the word's end, goes."""
+    return _words(F.regexp_replace(marked, f"([{NUMBER}-{NAME}])[^{NUMBER}-{START} ]+", "$1"))
 
 
 def value_words(text: Column) -> Column:
-    return _words(_plain(text))
+    return _values(_marked(text))
+
+
+def template_words(text: Column) -> Column:
+    """Template words of a text, one for each word of `value_words`; words at a sentence start are no names."""
+    return _template(F.translate(_marked(text, True), START, ""))
+
+
+def open_template_words(text: Column) -> Column:
+    """The same with all capitalised words as names."""
+    return _template(_marked(text))
 
 
 def hashes(words: Column) -> Column:
@@ -100,15 +109,11 @@ def _small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-#: Readings: plain words, template, open template; and their word hashes.
-READINGS, HASHED = ("_v", "_t", "_o"), ("_hv", "_ht", "_ho")
-
-
 def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_doc, _text_key, the readings, their word hashes), columns of their own so that lambdas do not make them anew."""
-    marked = docs.select(F.col(id_col).alias("_doc"), F.xxhash64(F.col(text_col)).alias("_text_key"), F.col(text_col).alias("_text"), _marked(F.col(text_col)).alias("_m"))
-    words = marked.select("_doc", "_text_key", value_words(F.col("_text")).alias("_v"), _strict(F.col("_m")).alias("_t"), _open(F.col("_m")).alias("_o"))
-    return words.select("*", *[hashes(F.col(c)).alias(h) for c, h in zip(READINGS, HASHED)])
+    """(_doc, _text_key, plain words _v, template _t, and their hashes), as columns, so that lambdas do not make them anew."""
+    marked = docs.select(F.col(id_col).alias("_doc"), F.xxhash64(F.col(text_col)).alias("_text_key"), _marked(F.col(text_col)).alias("_m"))
+    words = marked.select("_doc", "_text_key", _values(F.col("_m")).alias("_v"), _template(F.col("_m")).alias("_t"))
+    return words.select("*", hashes(F.col("_v")).alias("_hv"), hashes(F.col("_t")).alias("_ht"))
 
 
 def _item_windows(benchmark: DataFrame, k: int, item_col: str, text_col: str) -> DataFrame:
@@ -116,17 +121,22 @@ def _item_windows(benchmark: DataFrame, k: int, item_col: str, text_col: str) ->
 
     _g names the window: the hash of its plain words.
     """
-    items = _read(benchmark.filter(F.col(item_col).isNotNull()), item_col, text_col).filter(F.size("_v") > 0)
-    span = F.least(F.size("_v"), F.lit(k))
-    placed = items.select("*", span.alias("_k"), F.explode(F.sequence(F.lit(0), F.size("_v") - span)).alias("_b"))
-    cut = placed.select(
-        F.col("_doc").alias("_item"), "_b", "_k", *[F.slice(c, F.col("_b") + 1, F.col("_k")).alias(c) for c in READINGS], *[window(F.col(h), F.col("_b"), k).alias(h) for h in HASHED]
-    ).withColumn("_g", F.col("_hv"))
+    text = F.col(text_col)
+    words = benchmark.filter(F.col(item_col).isNotNull()).select(
+        F.col(item_col).alias("_item"), value_words(text).alias("_v"), open_template_words(text).alias("_t"), template_words(text).alias("_u")
+    ).filter(F.size("_v") > 0)
+    first, said = F.col("_t")[0], F.col("_v")[0]
+    turned = F.when(first == NAME, said).when((first == said) & said.rlike(r"^\p{L}+$"), F.lit(NAME)).otherwise(first)
+    words = words.withColumn("_f", F.concat(F.array(turned), F.slice("_t", 2, F.size("_t")))).withColumn("_k", F.least(F.size("_v"), F.lit(k)))
+    kinds = ("_v", "_t", "_u", "_f")
+    placed = words.select("*", F.explode(F.sequence(F.lit(0), F.size("_v") - F.col("_k"))).alias("_b"))
+    cut = placed.select("_item", "_b", "_k", *[F.slice(c, F.col("_b") + 1, F.col("_k")).alias(c) for c in kinds])
+    cut = cut.withColumns({f"_h{c}": window(hashes(F.col(c)), F.lit(0), k) for c in kinds}).withColumn("_g", F.col("_h_v"))
     ordinary = lambda c: F.size(F.filter(c, lambda w: ~w.rlike(_PLACE)))
-    rows = [cut.select("_item", "_b", "_k", "_g", F.col("_hv").alias("_h"), F.lit(False).alias("_slots"), F.col("_v").alias("_w"), "_v")]
-    for c, h in zip(READINGS[1:], HASHED[1:]):
+    rows = [cut.select("_item", "_b", "_k", "_g", F.col("_h_v").alias("_h"), F.lit(False).alias("_slots"), F.col("_v").alias("_w"), "_v")]
+    for c in kinds[1:]:
         counts = (F.size(c) > ordinary(F.col(c))) & (ordinary(F.col(c)) >= F.when(F.col("_k") < k, 2).otherwise(1))
-        rows.append(cut.filter(counts).select("_item", "_b", "_k", "_g", F.col(h).alias("_h"), F.lit(True).alias("_slots"), F.col(c).alias("_w"), "_v"))
+        rows.append(cut.filter(counts).select("_item", "_b", "_k", "_g", F.col(f"_h{c}").alias("_h"), F.lit(True).alias("_slots"), F.col(c).alias("_w"), "_v"))
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -139,11 +149,12 @@ def leaks(
     spans = sorted({k} | {r["_k"] for r in spots.select("_k").distinct().collect()})
     totals = spots.groupBy("_item").agg(F.countDistinct("_g").alias("_total"))
     wanted = _small(materialise(spots.select("_item", "_g", "_h").distinct(), "leak-windows"), broadcast_rows)
-    read = _read(docs.filter(F.col(id_col).isNotNull()), id_col, text_col).select("_doc", "_text_key", *HASHED)
+    read = _read(docs.filter(F.col(id_col).isNotNull()), id_col, text_col).select("_doc", "_text_key", "_hv", "_ht")
     none = F.array().cast("array<bigint>")
-    # a reading that is the same as another adds nothing
-    every = [windows(F.col("_hv"), s) for s in spans] + [F.when(F.col(a) == F.col(b), none).otherwise(windows(F.col(a), s)) for s in spans for a, b in (("_ht", "_hv"), ("_ho", "_ht"))]
-    held = read.select("_doc", "_text_key", F.explode(F.concat(*every)).alias("_w"))
+    # a template that is the plain reading adds nothing
+    every = [w for s in spans for w in (windows(F.col("_hv"), s), F.when(F.col("_ht") == F.col("_hv"), none).otherwise(windows(F.col("_ht"), s)))]
+    # explode_outer: for explode, the optimizer would add a filter that computes the array a second time
+    held = read.select("_doc", "_text_key", F.explode_outer(F.concat(*every)).alias("_w"))
     hits = held.join(wanted, F.col("_w") == F.col("_h")).groupBy("_doc", "_text_key", "_item").agg(F.countDistinct("_g").alias("_matched"))
     enough = lambda c: F.col(c) >= F.lit(share) * F.col("_total")
     pairs = materialise(hits.join(totals, "_item").filter(enough("_matched")).select("_doc", "_text_key", "_item", "_total"), "leak-pairs")
@@ -168,8 +179,7 @@ def _standing(docs: DataFrame, spots: DataFrame, pairs: DataFrame, spans: list[i
     plain = words.select(*key, F.explode(F.array_distinct(F.concat(*[windows(F.col("_hv"), s) for s in spans]))).alias("_h"))
     bare = spots.filter("not _slots").select("_item", "_g", "_h").distinct()
     copied = plain.join(bare, "_h").join(pairs.select(*pair), pair, "left_semi").select(*pair, "_g")
-    both = [words.select(*key, F.posexplode(windows(F.col(c), s)).alias("_p", "_h")) for s in spans for c in HASHED[1:]]
-    places = reduce(DataFrame.unionByName, both).distinct()
+    places = reduce(DataFrame.unionByName, [words.select(*key, F.posexplode(windows(F.col("_ht"), s)).alias("_p", "_h")) for s in spans])
     slotted = spots.filter("_slots").select("_item", "_b", "_k", "_g", "_h", "_w", "_v")
     met = (
         places.join(slotted, "_h").join(pairs.select(*pair), pair, "left_semi")
