@@ -38,11 +38,12 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id from w left join
 """
 
 OP6 = """
-with v as (select vec_id, [floor(256 * cast(x as double)) for x in embedding] as q from embeddings
-  where len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
-p as (select a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.q, b.q) as bigint) as score from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
-select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+with u as (select row_number() over () as r, vec_id, embedding from embeddings),
+v as (select r, vec_id, [floor(256 * cast(x as double)) for x in embedding] as q from u
+  where vec_id is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+p as (select a.r, a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.q, b.q) as bigint) as score from v a join v b on a.vec_id % 50 = 0 and a.r <> b.r and len(a.q) = len(b.q)),
+k as (select *, row_number() over (partition by r order by score desc, vec_id) as rank from p)
+select query_id, cast(rank as integer) as rank, vec_id, score from k where rank <= 5
 """
 
 OP8 = f"""

@@ -82,32 +82,70 @@ def test_reader_validates():
 def brute_top(rows, k=5, every=50):
     ints = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = Counter()
-    for i, q in ints:
+    for at, (i, q) in enumerate(ints):
         if i % every == 0:
-            found = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ints if j != i and len(v) == len(q))[:k]
+            found = sorted((-sum(a * b for a, b in zip(q, v)), j) for n, (j, v) in enumerate(ints) if n != at and len(v) == len(q))[:k]
             out.update((i, r, j, -s) for r, (s, j) in enumerate(found, 1))
     return out
 
 
-@pytest.mark.parametrize("query_bytes", [16 << 20, 600])
-def test_top_k(spark, query_bytes):
+@pytest.mark.parametrize("options", [{}, {"part_bytes": 6000, "part_rows": 7}])
+def test_top_k(spark, options):
     rnd = np.random.default_rng(1)
     rows = [(i, rnd.normal(0, 0.1, 40).astype(np.float32).tolist()) for i in range(400)]
     rows[101] = (101, rows[100][1])
     rows[102] = (102, rows[100][1])
     rows += [(500, None), (501, [None] * 40), (550, [float("nan")] * 40), (600, [float("inf")] * 40), (650, []), (700, [1.0, 2.0]), (701, [3.0, 4.0]), (None, rows[0][1]), (750, [0.0] * 40), (800, [1.0])]
+    rows += [(0, rows[7][1]), (0, rows[8][1]), (50, rows[50][1]), (9, rows[9][1]), (900, rnd.normal(0, 1, 30_000).tolist()), (901, rnd.normal(0, 1, 30_000).tolist()), (950, [1e-3] * 30_000)]
     df = spark.createDataFrame([(i, v, 1, 2, "x") for i, v in rows], "vec_id long, embedding array<float>, score long, rank int, `_v` string")
-    got = topk.top_k(df, F.col("vec_id") % 50 == 0, query_bytes=query_bytes)
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0, **options)
+    rows = [(i, v if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert Counter(map(tuple, got.collect())) == brute_top(rows)
     assert topk.top_k(df.filter("false"), F.lit(True)).collect() == []
 
 
+def test_top_k_of_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [2.0, 0.0]), (3, [0.0, 2.0]), (4, [3.0, 3.0])]
+    got = Counter(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()))
+    assert got == brute_top(rows) and sum(got.values()) == 10 and sorted(r for _, r, _, _ in got.elements()) == sorted([1, 2, 3, 4, 5] * 2)
+
+
 def test_top_k_large_values_stay_exact(spark):
     rows = [(i * 50, [float(300_000 * (i + 1) + i), 1e6]) for i in range(9)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert Counter(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0).collect())) == brute_top(rows)
 
 
+def test_large_values_are_bounded_too():
+    """One large component does not make all pairs be scored by integers: what the bounds rule out is never opened."""
+    rnd = np.random.default_rng(3)
+    vectors = rnd.integers(-(1 << 24), 1 << 24, (3000, 48))
+    vectors[5] = 1 << 32
+    block, opened = topk.Part(np.arange(3000), np.arange(3000), vectors), []
+
+    class Counting(np.ndarray):
+        def __getitem__(self, at):
+            opened.append(np.size(at))
+            return np.asarray(super().__getitem__(at))
+
+    block.vectors = vectors.view(Counting)
+    queries = vectors[:20]
+    got = Counter(topk.best_of(np.arange(20), queries, [block], 5))
+    want = Counter()
+    for i in range(20):
+        scores = sorted((-int(np.dot(queries[i].astype(object), v.astype(object))), n) for n, v in enumerate(vectors) if n != i)[:5]
+        want.update((i, n, -s) for s, n in scores)
+    assert got == want and sum(opened) < 20 * 20
+
+
+def test_scores_beyond_a_long_are_ties():
+    vectors = np.array([[1 << 40, 1 << 40], [1 << 41, 0], [1 << 42, 1 << 42], [1, 2], [-(1 << 62), -(1 << 62)]])
+    got = [(j, s) for _, j, s in topk.best_of(np.array([2]), vectors[2:3], [topk.Part(np.arange(5), np.array([9, 8, 7, 6, 5]), vectors)], 4)]
+    assert got == [(8, (1 << 63) - 1), (9, (1 << 63) - 1), (6, 3 << 42), (5, -(1 << 63))]
+
+
+
+
 # ---- mixing ------------------------------------------------------------------------------------------------------
 
 
