@@ -1,13 +1,15 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-Each row gets a hash-random key.  Within a source the keys are cut into ranges of about `range_rows` rows; range
-totals give distributed prefix sums, and one window per range gives each row's place in its source's random order.
-A source takes whole epochs of its rows while its target allows and then the rows whose words lie before the exact
-budget; the row on the cut gives a part of its words.
+Each row gets a hash-random key of its id and text.  The rows are range-sorted by source and key into ranges of about
+`range_rows` rows; rows that are equal in all of this are told apart by a row number, so a hot id or text is cut into
+ranges like any other rows.  Range totals give distributed prefix sums, and one window per range gives each row's place
+in its source's random order.  A source takes whole epochs of its rows while its target allows and then the rows whose
+words lie before the exact budget; the row on the cut gives a part of its words.
 
-Defined cases: null text has size 0; a null source is a source of its own, last in order; rows of equal keys are
-ordered by id, and repeated ids by nothing that shows, as equal rows of one id are summed in any order; an empty
-table gives an empty result; other columns are neither read nor returned.
+Defined cases: null text has size 0; a null source is a source of its own, last in order; null ids are ids like others;
+rows of equal keys are ordered by id and size, and what is equal in these too is the same row for the result, so reruns
+return the same rows whatever the partitioning; an empty table gives an empty result; other columns are neither read nor
+returned.
 """
 
 from __future__ import annotations
@@ -27,9 +29,9 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(spaced, " "), lambda w: w != "")).cast("long")
 
 
-def random_key(ident: Column, seed: int) -> Column:
-    """60 random bits of an id: the first 15 hexadecimal digits of an MD5, which any SQL engine can repeat."""
-    said = F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.lit("")))
+def random_key(ident: Column, text: Column, seed: int) -> Column:
+    """60 random bits of an id and its text: the first 15 hexadecimal digits of an MD5, which any SQL engine can repeat."""
+    said = F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
     return F.conv(F.substring(F.md5(said.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
@@ -63,27 +65,27 @@ def source_targets(totals: DataFrame, weights: list[float], share: float, most:
 
 
 def mix_sources(
-    docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", range_rows: int = 4096
+    docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", range_rows: int = 100_000
 ) -> DataFrame:
     """(id, size, source_size, target, taken) of every row; taken counts words, repeats included."""
-    sized = materialise(
-        docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")), "mix-sizes"
+    ident, text = F.col(id_col), F.col(text_col)
+    keyed = docs.select(
+        ident.alias("_id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"), random_key(ident, text, seed).alias("_key"), F.monotonically_increasing_id().alias("_row")
     )
+    sized = materialise(keyed, "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     targets = materialise(source_targets(totals, weights, share, most), "mix-targets").withColumnRenamed("source", "_source")
-    at = sized.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    key = random_key(F.col("_id"), seed)
-    ranges = F.ceil(F.col("source_rows") / F.lit(float(range_rows)))
-    # the key's place among its source's ranges: order of ranges is order of keys
-    place = F.least(F.floor(key / F.lit(float(1 << 60)) * ranges), ranges - 1)
-    keyed = materialise(at.withColumn("_key", key).withColumn("_range", place.cast("long")), "mix-keys")
+    ranges = max(1, -(-sized.count() // range_rows))
+    sorted_ = sized.repartitionByRange(ranges, "source", "_key", "_id", "size", "_row").withColumn("_range", F.spark_partition_id())
+    ranged = materialise(sorted_, "mix-ranges")  # a range is a fixed column from here on
+    keyed = ranged.join(targets.drop("source_rows"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        keyed.groupBy("source", "_range").agg(F.sum("size").alias("_total"))
+        ranged.groupBy("source", "_range").agg(F.sum("size").alias("_total"))
         .withColumn("_start", F.coalesce(F.sum("_total").over(before), F.lit(0)))
         .select(F.col("source").alias("_source"), F.col("_range").alias("_at"), "_start")
     )
-    within = Window.partitionBy("source", "_range").orderBy("_key", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "_range").orderBy("_key", "_id", "size", "_row").rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("_before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(
         starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_at"))
     )

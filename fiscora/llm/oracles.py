@@ -47,7 +47,7 @@ select query_id, cast(rank as integer) as rank, vec_id, score from k where rank
 """
 
 OP8 = f"""
-with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORDS})) as size, cast('0x' || substr(md5('0:' || doc_id), 1, 15) as bigint) as key from documents),
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORDS})) as size, cast('0x' || substr(md5('0:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 15) as bigint) as key from documents),
 t as (select source, cast(sum(size) as bigint) as s, row_number() over (order by source nulls last) - 1 as turn from d group by source),
 b as (select *, [5.0, 2.0, 1.0][turn % 3 + 1]::double as w, s * 2.0::double as bound from t),
 r as (select *, bound / w as ratio, sum(s) over () * 1.5::double as total,
@@ -56,7 +56,7 @@ r as (select *, bound / w as ratio, sum(s) over () * 1.5::double as total,
 l as (select *, (total - done) / rest as level from r),
 m as (select source, s, least(bound, coalesce((select level from l where ratio > level order by ratio limit 1) * w, bound)) as target from l),
 p as (select doc_id, size, s as source_size, target, case when s > 0 then cast(floor(target / s) as bigint) else 0 end as epochs,
-  coalesce(sum(size) over (partition by d.source order by key, doc_id rows between unbounded preceding and 1 preceding), 0) as before
+  coalesce(sum(size) over (partition by d.source order by key, doc_id nulls first, size rows between unbounded preceding and 1 preceding), 0) as before
   from d join m on d.source is not distinct from m.source)
 select doc_id, size, source_size, target, cast(epochs * size + greatest(0, least(size, cast(round(target - epochs * source_size) as bigint) - before)) as bigint) as taken from p
 """

@@ -194,6 +194,31 @@ def test_mix(spark, range_rows, weights):
     assert {r["doc_id"]: r["taken"] for r in got} == {r["doc_id"]: r["taken"] for r in again}
 
 
+def test_mix_reruns_agree(spark):
+    """Null ids, repeated ids with equal and other texts, one id on a third of the rows, and a very long text."""
+    rnd = random.Random(6)
+    rows = [(None, " ".join(words(rnd, rnd.randint(0, 9))), "a") for _ in range(300)] + [(7, " ".join(words(rnd, rnd.randint(0, 9))), "a") for _ in range(200)]
+    rows += [(8, "one two three", "b")] * 250 + [(9, "w " * 200_000, "c"), (None, None, None), (None, None, "a")]
+    results = []
+    for parts in (1, 3, 7):
+        rnd.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        results.append(Counter(map(tuple, mixing.mix_sources(df, [5, 2, 1], range_rows=40).collect())))
+    assert results[0] == results[1] == results[2] and sum(results[0].values()) == len(rows)
+    taken: Counter = Counter()
+    sizes = {s: sum(len(WORD.findall(t or "")) for _, t, x in rows if x == s) for s in ("a", "b", "c", None)}
+    target = brute_targets(sizes, [5, 2, 1])
+    for (_, size, source_size, goal, n), times in results[0].items():
+        taken[goal] += n * times
+        assert n <= 2 * size
+    assert all(abs(taken[g] - sum(t for t in target.values() if t == pytest.approx(g))) <= 0.5 for g in taken)
+
+
+def test_mix_spreads_a_hot_row(spark):
+    df = spark.createDataFrame([(1, "a b", "s")] * 1000 + [(i, "c d e", "s") for i in range(50)], "doc_id long, text string, source string")
+    assert sum(r["taken"] for r in mixing.mix_sources(df, [1], range_rows=100).collect()) == round(1.5 * 2150)
+
+
 def test_mix_edges(spark):
     assert mixing.mix_sources(frame(spark, [(1, "a")]).filter("false"), [1]).collect() == []
     assert [tuple(r) for r in mixing.mix_sources(frame(spark, [(1, None)]), [5, 2, 1]).collect()] == [(1, 0, 0, 0.0, 0)]
