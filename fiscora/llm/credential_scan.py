@@ -1,11 +1,18 @@
 """Secret scans: base patterns, and formats inferred as probabilistic automata.
 
 Labelled credentials (values that the base patterns find in a bounded sample, and a seeded set of public token
-formats) are put into one prefix tree per kind.  States whose outgoing frequencies are statistically compatible
+formats) are put into one prefix tree per kind, over character classes, or the character itself at a position where
+nearly all tokens of the kind have the same one.  States whose outgoing frequencies are statistically compatible
 (Hoeffding's bound, at every depth below them) are merged, breadth first, which gives a probabilistic automaton.
-Every candidate token of every text, or each piece of it that base spans leave, is scored by the mean log-likelihood
-ratio a character of the best automaton against a character model of ordinary tokens; above the margin it is a span of
-kind `format`.
+
+Every candidate of every text, of any length, is scored: each run of token characters, or what base spans leave of it,
+and where a run is no secret as a whole, its parts between `=` and `/`.  The score is the log-likelihood ratio of the
+best automaton against a character model of ordinary tokens.  A span of kind `format` needs a mean ratio a character of
+`MARGIN` and a ratio of the evidence that the fit sets: `EVIDENCE` at least (a token is rarely a secret to begin with),
+and `SAFETY` times what any ordinary token reaches in texts that the character model has not seen.
+
+The fit takes a bounded sample: `train_rows` rows, of which 400 values a kind (their first 200 characters) and 200,000
+ordinary tokens teach.  Scoring covers all rows and whole texts.
 
 Defined cases: a null or empty text has no spans; base spans are always kept, format spans lie outside of them;
 equal rows give equal results; an empty table gives an empty result; other columns are ignored.
@@ -31,10 +38,19 @@ KINDS = ("assign", "access", "hex", "format")
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]+")
+_PART = re.compile(r"[^/=]+")
 _RUN = re.compile(r"[A-Za-z0-9]{12,}")
 #: Shorter values are no labelled examples of a format.
-SPAN_MIN = 16
+LABELLED_MIN = 16
+#: The least ratio of a span (what twelve random letters and digits reach); the mean ratio a character; see above.
+EVIDENCE, MARGIN, SAFETY = 45.0, 1.0, 1.15
+#: What it costs an ordinary word to be in capitals.
+CAPITALS = 3.0
+#: Share of a kind's tokens that makes a character the literal of its position.
+LITERAL_SHARE = 0.9
+#: Candidates whose result a worker remembers.
+REMEMBERED = 200_000
 
 #: Marks that may join a token to a base span.
 JOINTS = frozenset("+/_=.-")
@@ -58,21 +74,32 @@ def spans_text(spans: list[Span]) -> str:
 
 
 class Automaton:
-    """Deterministic probabilistic automaton: for each state, the next state and log-probability by character."""
+    """Deterministic probabilistic automaton: for each state, the next state and log-probability by symbol.
 
-    def __init__(self, steps: list[dict[str, tuple[int, float]]], floor: float):
-        self.steps, self.floor = steps, floor
+    A symbol is a character, or its literal form where the position has a literal.
+    """
 
-    def score(self, token: str) -> float:
-        """Sum of log-probabilities; a character without a transition costs `floor` and keeps the state."""
-        state, total = 0, 0.0
-        for ch in token:
-            step = self.steps[state].get(ch)
+    def __init__(self, steps: list[dict[str, tuple[int, float]]], literals: list[str | None], floor: float):
+        self.steps, self.literals, self.floor = steps, literals, floor
+
+    def score(self, token: str, least: float = -math.inf) -> float:
+        """Sum of log-probabilities; a character without a transition costs `floor` and keeps the state.
+
+        The sum only falls: it ends as soon as it is below `least`.
+        """
+        state, total, steps, literals = 0, 0.0, self.steps, self.literals
+        for i, ch in enumerate(token):
+            step = None
+            if i < len(literals) and literals[i] == ch:
+                step = steps[state].get("=" + ch)
+            step = step or steps[state].get(ch)
             if step is None:
                 total += self.floor
             else:
                 state = step[0]
                 total += step[1]
+            if total < least:
+                break
         return total
 
 
@@ -80,90 +107,105 @@ def _shape(ch: str) -> str:
     return "0" if ch.isdigit() else "a" if ch.islower() else "A" if ch.isupper() else ch
 
 
-def infer(tokens: list[str], alpha: float = 0.05) -> Automaton:
-    """Prefix tree over character classes, merged state by state while Hoeffding's test finds no difference.
+def literal_places(tokens: list[str]) -> list[str | None]:
+    """The character that nearly all tokens have at a position, up to the last such position."""
+    places: list[str | None] = []
+    for i in range(max(map(len, tokens), default=0)):
+        ch, n = Counter(t[i] for t in tokens if i < len(t)).most_common(1)[0]
+        places.append(ch if n >= LITERAL_SHARE * len(tokens) and len(tokens) > 1 else None)
+    while places and places[-1] is None:
+        places.pop()
+    return places
 
-    Classes (digit, lower, upper, or the mark itself) keep the tree small; a class's mass is spread over the characters
-    seen in it in the training tokens.
-    """
-    seen: dict[str, set[str]] = defaultdict(set)
-    kids: list[dict[str, int]] = [{}]
-    count: list[Counter] = [Counter()]
-    ends: list[int] = [0]
-    for token in tokens:
+
+class Tree:
+    """A prefix tree with counts, whose states can be folded into one another."""
+
+    def __init__(self) -> None:
+        self.kids: list[dict[str, int]] = [{}]
+        self.count: list[Counter] = [Counter()]
+        self.ends = [0]
+
+    def add(self, symbols: list[str]) -> None:
         state = 0
-        for ch in token:
-            shape = _shape(ch)
-            seen[shape].add(ch)
-            count[state][shape] += 1
-            if shape not in kids[state]:
-                kids[state][shape] = len(kids)
-                kids.append({})
-                count.append(Counter())
-                ends.append(0)
-            state = kids[state][shape]
-        ends[state] += 1
-
-    def size(s: int) -> int:
-        return ends[s] + sum(count[s].values())
-
-    def differ(f1: int, n1: int, f2: int, n2: int) -> bool:
-        if not n1 or not n2:
-            return False
-        return abs(f1 / n1 - f2 / n2) > math.sqrt(0.5 * math.log(2 / alpha)) * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
-
-    def compatible(a: int, b: int) -> bool:
-        queue, done = [(a, b)], set()
+        for c in symbols:
+            self.count[state][c] += 1
+            if c not in self.kids[state]:
+                self.kids[state][c] = len(self.kids)
+                self.kids.append({})
+                self.count.append(Counter())
+                self.ends.append(0)
+            state = self.kids[state][c]
+        self.ends[state] += 1
+
+    def size(self, s: int) -> int:
+        return self.ends[s] + sum(self.count[s].values())
+
+    def compatible(self, a: int, b: int, alpha: float) -> bool:
+        """Whether Hoeffding's test finds no difference between the states, nor between what follows them alike."""
+        spread, queue, done = math.sqrt(0.5 * math.log(2 / alpha)), [(a, b)], set()
         while queue:
             x, y = queue.pop()
             if x == y or (x, y) in done:
                 continue
             done.add((x, y))
-            n, m = size(x), size(y)
-            if differ(ends[x], n, ends[y], m) or any(differ(count[x][c], n, count[y][c], m) for c in count[x].keys() | count[y].keys()):
-                return False
-            queue += [(kids[x][c], kids[y][c]) for c in kids[x].keys() & kids[y].keys()]
+            n, m = self.size(x), self.size(y)
+            if n and m:
+                apart = spread * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+                shares = [(self.ends[x], self.ends[y]), *((self.count[x][c], self.count[y][c]) for c in self.count[x].keys() | self.count[y].keys())]
+                if any(abs(f / n - g / m) > apart for f, g in shares):
+                    return False
+            queue += [(self.kids[x][c], self.kids[y][c]) for c in self.kids[x].keys() & self.kids[y].keys()]
         return True
 
-    def fold(a: int, b: int) -> None:
+    def fold(self, a: int, b: int) -> None:
         queue = [(a, b)]
         while queue:
             x, y = queue.pop()
             if x == y:
                 continue
-            ends[x] += ends[y]
-            count[x] += count[y]
-            for c, child in list(kids[y].items()):
-                if c in kids[x]:
-                    queue.append((kids[x][c], child))
+            self.ends[x] += self.ends[y]
+            self.count[x] += self.count[y]
+            for c, child in self.kids[y].items():
+                if c in self.kids[x]:
+                    queue.append((self.kids[x][c], child))
                 else:
-                    kids[x][c] = child
-
-    red, blue = [0], deque(sorted(kids[0].items()))
-    parents = deque([0] * len(blue))
-    while blue:
-        (shape, state), parent = blue.popleft(), parents.popleft()
-        if kids[parent].get(shape) != state or state in red:
-            continue
-        for r in red:
-            if compatible(r, state):
-                kids[parent][shape] = r
-                fold(r, state)
-                new = r
-                break
+                    self.kids[x][c] = child
+
+
+def infer(tokens: list[str], alpha: float = 0.05) -> Automaton:
+    """Prefix tree over symbols, merged state by state while no difference is found.
+
+    Classes (digit, lower, upper, or the mark itself) keep the tree small; a class's mass is spread over the characters
+    seen in it in the training tokens.  The states still open are looked up anew after every fold, as a fold can hang
+    children on states that are settled; so no transition is lost.
+    """
+    literals, tree = literal_places(tokens), Tree()
+    seen: dict[str, set[str]] = defaultdict(set)
+    for token in tokens:
+        symbols = []
+        for i, ch in enumerate(token):
+            literal = i < len(literals) and literals[i] == ch
+            symbols.append("=" + ch if literal else _shape(ch))
+            seen[symbols[-1]].add("=" + ch if literal else ch)
+        tree.add(symbols)
+    settled = {0: 0}  # state to number, in order
+    while True:
+        open_ = ((s, c, k) for s in settled for c, k in sorted(tree.kids[s].items()) if k not in settled)
+        parent, symbol, state = next(open_, (None, None, None))
+        if state is None:
+            break
+        like = next((s for s in settled if tree.compatible(s, state, alpha)), None)
+        if like is None:
+            settled[state] = len(settled)
         else:
-            red.append(state)
-            new = state
-        for c, child in sorted(kids[new].items()):
-            if child not in red:
-                blue.append((c, child))
-                parents.append(new)
-    number = {s: i for i, s in enumerate(red)}
+            tree.kids[parent][symbol] = like
+            tree.fold(like, state)
     steps = []
-    for s in red:
-        total = size(s) + 1.0
-        steps.append({ch: (number[t], math.log(count[s][c] / total / len(seen[c]))) for c, t in kids[s].items() if t in number for ch in seen[c]})
-    return Automaton(steps, math.log(1e-4))
+    for s in settled:
+        total = tree.size(s) + 1.0
+        steps.append({ch: (settled[k], math.log(tree.count[s][c] / total / len(seen[c]))) for c, k in tree.kids[s].items() for ch in seen[c]})
+    return Automaton(steps, literals, math.log(1e-4))
 
 
 def _mixed(run: str) -> bool:
@@ -187,6 +229,13 @@ class Ordinary:
         self.memo: dict[str, float] = {}
 
     def score(self, token: str) -> float:
+        """Log-probability; a word in capitals, or with a capital, is also taken as the word in small letters."""
+        found = self._score(token)
+        if token.isalpha() and (token.isupper() or token.istitle()):
+            found = max(found, self._score(token.lower()) - CAPITALS)
+        return found
+
+    def _score(self, token: str) -> float:
         t, memo, total = "\x02\x02" + token, self.memo, 0.0
         for i in range(len(t) - 2):
             g = t[i : i + 3]
@@ -200,27 +249,54 @@ class Ordinary:
 
 
 def _outside(a: int, b: int, taken: list[tuple[int, int]], i: int) -> Iterator[tuple[int, int]]:
-    """The pieces of a to b, of SPAN_MIN characters or more, outside of the sorted spans from the i-th on."""
+    """The pieces of a to b outside of the sorted spans from the i-th on."""
     while i < len(taken) and taken[i][0] < b:
-        if taken[i][0] - a >= SPAN_MIN:
+        if taken[i][0] > a:
             yield a, taken[i][0]
         a = max(a, taken[i][1])
         i += 1
-    if b - a >= SPAN_MIN:
+    if b > a:
         yield a, b
 
 
 class FormatModel:
-    def __init__(self, automata: list[Automaton], ordinary: Ordinary, margin: float):
-        self.automata, self.ordinary, self.margin = automata, ordinary, margin
-
-    def ratio(self, token: str) -> float:
-        """Mean log-likelihood ratio a character of the best automaton against ordinary tokens."""
-        return (max(a.score(token) for a in self.automata) - self.ordinary.score(token)) / len(token)
+    def __init__(self, automata: list[Automaton], ordinary: Ordinary, evidence: float):
+        self.automata, self.ordinary, self.evidence = automata, ordinary, evidence
+        self.memo: dict[str, tuple[tuple[int, int], ...]] = {}
+
+    def ratio(self, token: str, least: float = -math.inf) -> float:
+        """Log-likelihood ratio of the best automaton against ordinary tokens; below `least` it may be any value below."""
+        common = self.ordinary.score(token)
+        if -common < least:  # an automaton gives a probability of one at most
+            return -math.inf
+        return max((a.score(token, least + common) for a in self.automata), default=-math.inf) - common
+
+    def is_secret(self, token: str) -> bool:
+        least = max(self.evidence, MARGIN * len(token))
+        return bool(token) and self.ratio(token, least) >= least
+
+    def pieces(self, run: str) -> tuple[tuple[int, int], ...]:
+        """The secrets in a run of token characters: the whole run, or else its parts between marks."""
+        known = self.memo.get(run)
+        if known is None:
+            if len(self.memo) >= REMEMBERED:
+                self.memo.clear()
+            whole = run.rstrip(".")
+            if self.is_secret(whole):
+                known = ((0, len(whole)),)
+            elif "=" in run or "/" in run:
+                parts = ((m.start(), m.group().rstrip(".")) for m in _PART.finditer(run))
+                known = tuple((a, a + len(t)) for a, t in parts if self.is_secret(t))
+            else:
+                known = ()
+            self.memo[run] = known
+        return known
 
     def spans(self, text: str, base: list[Span]) -> list[Span]:
         if not self.automata:
             return []
+        if not base and not any(self.pieces(run) for run in set(_CANDIDATE.findall(text))):
+            return []
         found, taken, i = [], sorted((a, b) for a, b, _ in base), 0
         for m in _CANDIDATE.finditer(text):
             a, b = m.span()
@@ -230,9 +306,9 @@ class FormatModel:
                 # a mark beside a base span may be a joint or a part of the token: without it first, then with it
                 cut = p + (p > a and text[p] in JOINTS), q - (q < b and text[q - 1] in JOINTS)
                 for x, y in dict.fromkeys((cut, (p, q))):
-                    token = text[x:y].rstrip(".")
-                    if token and self.ratio(token) >= self.margin:
-                        found.append((x, x + len(token), "format"))
+                    hits = self.pieces(text[x:y])
+                    if hits:
+                        found += [(x + u, x + v, "format") for u, v in hits]
                         break
         return found
 
@@ -258,28 +334,36 @@ def public_formats(count: int = 150, seed: int = 5) -> dict[str, list[str]]:
     return {k: [f() for _ in range(count)] for k, f in makers.items()}
 
 
-def train(texts: list[str | None], most: int = 400, rejected: float = 1.0) -> FormatModel:
-    """texts: a bounded sample.  The margin is above `rejected` of its ordinary tokens' ratios, and 1.0 at least."""
+def plain_tokens(count: int = 4000, seed: int = 6) -> list[str]:
+    """Made numbers and names of accounts, as ordinary tokens that a sample may lack."""
+    rnd = random.Random(seed)
+    name = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(4, 9)))
+    makers = (lambda: f"{name()}.{rnd.randrange(100):02d}", lambda: f"{name()}_{name()}", lambda: str(rnd.randrange(10 ** rnd.randint(1, 16))), lambda: f"{rnd.randint(1900, 2099)}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}", lambda: f"{rnd.randrange(1000)}-{rnd.randrange(10000)}", lambda: f"{rnd.randrange(10**6)}.{rnd.randrange(100)}")
+    return [rnd.choice(makers)() for _ in range(count)]
+
+
+def train(texts: list[str | None], most: int = 400, common_tokens: int = 200_000) -> FormatModel:
+    """texts: a bounded sample.  Every other text serves to set the evidence, then all teach the ordinary tokens."""
     labelled = public_formats()
-    ordinary: list[str] = []
-    for text in texts:
+    ordinary: tuple[list[str], list[str]] = ([], [])
+    for n, text in enumerate(texts):
         text = text or ""
         base = base_spans(text)
         for a, b, kind in base:
             m = _ASSIGN.match(text, a, b) if kind == "assign" else None
             kept = labelled.setdefault(kind, [])
             token = m.group(2) if m else text[a:b]
-            if len(kept) < most and len(token) >= SPAN_MIN:
+            if len(kept) < most and len(token) >= LABELLED_MIN:
                 kept.append(token[:200])
-        if len(ordinary) < 50 * most:
-            ordinary += [m.group() for m in _CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < b for a, b, _ in base)]
-    # tokens of letters and digits mixed in one long run may be credentials that no label names: they teach nothing
-    common = [t for t in ordinary if not any(_mixed(run) for run in _RUN.findall(t))]
-    model = FormatModel([infer(t) for t in labelled.values() if t], Ordinary(common), 1.0)
-    ratios = sorted(model.ratio(t) for t in common)
-    if ratios:
-        model.margin = max(1.0, ratios[min(len(ratios) - 1, int(rejected * len(ratios)))] + 0.25)
-    return model
+        if len(ordinary[n % 2]) < common_tokens // 2:
+            tokens = (m.group().rstrip(".") for m in _CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < b for a, b, _ in base))
+            # letters and digits mixed in one long run may be credentials that no label names: they teach nothing
+            ordinary[n % 2].extend(t for t in tokens if t and not any(_mixed(run) for run in _RUN.findall(t)))
+    automata = [infer(t) for t in labelled.values() if t]
+    made = plain_tokens()
+    half = FormatModel(automata, Ordinary(ordinary[0] + made), EVIDENCE)
+    highest = max((half.ratio(t) for t in set(ordinary[1])), default=0.0)
+    return FormatModel(automata, Ordinary(ordinary[0] + ordinary[1] + made), max(EVIDENCE, SAFETY * highest))
 
 
 def scan(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

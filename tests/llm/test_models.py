@@ -82,6 +82,63 @@ def test_glued_tokens_are_redacted(spark):
     assert got == {1: "see [SECRET]/[SECRET] now", **dict(plain)}
 
 
+def unseen_formats(rnd: random.Random) -> dict[str, str]:
+    """A token of each of some public formats that the generator of the training set does not make."""
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    both, hexes = digits + lower + lower.upper(), "0123456789abcdef"
+    run = lambda chars, n: "".join(rnd.choice(chars) for _ in range(n))
+    return {
+        "npm": "npm_" + run(both, 36), "gitlab": "glpat-" + run(both + "-_", 20), "sendgrid": f"SG.{run(both, 22)}.{run(both + '-_', 43)}", "hub": "hf_" + run(both, 34), "ocean": "dop_v1_" + run(hexes, 64),
+        "twilio": "SK" + run(hexes, 32), "azure": run(both + "+/", 86) + "==", "pypi": "pypi-AgEIcHlwaS5vcmc" + run(both + "-_", 70), "shop": "shpat_" + run(hexes, 32), "mail": run(hexes, 32) + "-us12",
+        "bare16": run(both, 16), "linear": "lin_api_" + run(both, 40), "named": "TOKENS=" + run(both, 30), "path": "/v1/keys/" + run(both, 32),
+    }
+
+
+def test_unseen_formats_and_ordinary_texts(sf_dir):
+    """Held out: formats the generator does not make, and documents the model has not seen."""
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table(f"{sf_dir}/documents.parquet")["text"].to_pylist() if t]
+    model, rnd = credential_scan.train(texts[::2]), random.Random(8)
+    hits: dict[str, int] = {}
+    for _ in range(50):
+        for kind, token in unseen_formats(rnd).items():
+            hits[kind] = hits.get(kind, 0) + any(kind_ == "format" for *_, kind_ in model.spans(f"so the value {token} stands here", []))
+    assert all(n >= 45 for n in hits.values()), hits
+    false = [t[a:b] for t in texts[1::2] for a, b, _ in model.spans(t, credential_scan.base_spans(t))]
+    assert len(false) <= 1, false
+
+
+def test_planted_tokens_are_format_spans(spark):
+    rnd, prose_ = random.Random(2), random.Random(3)
+    plain = [(i, " ".join("".join(prose_.choice("etaoinshrdlu") for _ in range(prose_.randint(2, 10))) for _ in range(80))) for i in range(60)]
+    planted = [(100 + n, f"{plain[n][1]} {token} {plain[n + 1][1]}", token) for n, token in enumerate(unseen_formats(rnd).values())]
+    got = {r["doc_id"]: r for r in credential_scan.digest(frame(spark, plain + [p[:2] for p in planted])).collect()}
+    found = sum("format:" in got[i]["spans"] or "hex:" in got[i]["spans"] for i, _, _ in planted)
+    assert found >= 0.9 * len(planted) and not any(got[i]["spans"] for i, _ in plain)
+
+
+def test_short_and_long_candidates_are_scored():
+    model = credential_scan.FormatModel([credential_scan.infer([f"zq{i:03d}" for i in range(1000)])], credential_scan.Ordinary(["the", "cat", "sat"] * 200), 30.0)
+    assert model.spans("the zq481 cat", []) == [(4, 9, "format")] and model.spans("the cat zq sat", []) == []
+    long_ = "A1b2" * 100_000
+    model = credential_scan.train(["the cat sat on the mat"] * 40)
+    assert model.spans(f"the {long_} cat", []) == [(4, 4 + len(long_), "format")]
+
+
+def test_no_observed_transition_is_lost():
+    for tokens in (*credential_scan.public_formats(400, seed=3).values(), ["abc", "abd", "ab", "xyz", "x"] * 9):
+        learned = credential_scan.infer(tokens)
+        for token in tokens:
+            state = 0
+            for i, ch in enumerate(token):
+                literal = i < len(learned.literals) and learned.literals[i] == ch
+                assert ("=" + ch if literal else ch) in learned.steps[state], (token, i)
+                state = learned.steps[state]["=" + ch if literal else ch][0]
+    github = credential_scan.infer(credential_scan.public_formats(400, seed=3)["github"])
+    assert github.literals == ["g", "h", None, "_"] and github.score("ghp_" + "a" * 36) > github.score("abc-" + "a" * 36) + 20
+
+
 def test_automaton_merges_states():
     rnd = random.Random(2)
     tokens = ["".join(rnd.choice("0123456789") for _ in range(20)) for _ in range(200)]
