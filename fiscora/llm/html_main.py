@@ -1,15 +1,18 @@
 """Main-text extraction by a linear-chain conditional random field over the leaf blocks of a page.
 
 A page is cut into leaf blocks: runs of text between block-level tags, with inline markup kept together.  Features of
-a block are its ancestor tags with their classes and ids, and shape features of its text (length, links, punctuation).
-The field is trained on labelled pages and decoded by Viterbi; the text of blocks labelled as content is the result.
+a block are its ancestor tags with their classes, ids and roles (and the page part that these name), its innermost page
+part, and shape features of its text and its neighbours' (length, links, punctuation).  The field is trained on labelled
+pages and decoded by Viterbi; the text of blocks labelled as content is the result.
 
-Labelled pages are made by `labelled_pages`, a seeded generator of page layouts whose blocks are known to be content
-or not; callers may pass pages of their own.
+Labelled pages are made by `labelled_pages`, a seeded generator of page layouts (by elements, by divs, by tables, with
+parts nested in the article) whose blocks are known to be content or not; callers may pass pages of their own.
 
 Defined cases: null html is empty; scripts, styles, comments and other raw elements hold no text; svg and object are
 elements like others, math is inline text, and self-closing counts in svg and object; unclosed and stray tags, cut-off
-tags and cut-off character references are taken as browsers take them; no content gives an empty text.
+tags, quotes and character references are taken as browsers take them, so an attribute's quote without an end takes what
+follows, and markup is never text; header, footer, aside, nav and form elements are no content within an article either;
+captions and data tables of an article are content; no content gives an empty text.
 """
 
 from __future__ import annotations
@@ -34,7 +37,9 @@ MATH = frozenset(
 INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup textpath time tspan tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|<|[^<]+", re.S)
+# A tag's attributes: a quote opens a value only after an equals sign, and a value without its end takes the rest.
+_ATTRIBUTE = r"""[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+|="""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*+(?:{_ATTRIBUTE})*+(?:>|\Z)|</[^a-zA-Z>][^>]*(?:>|\Z)|</>|<|[^<]+", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ROLE_WORD = re.compile(r"[a-z]+")
@@ -128,68 +133,142 @@ def leaf_blocks(page: str) -> list[Block]:
     return blocks
 
 
-def block_features(b: Block) -> list[str]:
-    words = b.text.count(" ") + 1
-    share = 4 * b.links // max(1, len(b.text))
-    ends = b.text[-1] in ".!?:;…\"”"
-    return [
-        "bias", *b.path, f"leaf:{next((p for p in reversed(b.path) if p[0] == 't'), '')}",
-        f"len:{min(words, 64).bit_length()}", f"link:{share}", f"end:{ends}", f"comma:{min(3, b.text.count(','))}",
-        f"len-link:{min(words, 64).bit_length()}:{share}", f"copy:{b.text[0] == chr(169)}",
-    ]
+# Words of class, id and role names that mark page parts.  Those of four letters or more count also within
+# a longer name.
+PARTS = {
+    "content": "article content post entry story main body text", "nav": "nav menu navbar navigation breadcrumb breadcrumbs toc topnav pager pagination", "header": "header masthead banner top logo branding",
+    "footer": "footer copyright legal bottom colophon contentinfo", "side": "aside sidebar side widget related recommended rail complementary trending popular more", "ad": "ad ads adv advert advertisement sponsored sponsor promo promotion outbrain taboola dfp",
+    "notice": "cookie consent notice gdpr popup modal alert overlay paywall disclaimer", "form": "form search subscribe subscription newsletter login signin signup", "comments": "comments comment replies reply reader discussion respond disqus",
+    "meta": "share sharing social tags tag meta byline author date timestamp follow",
+}
+_PART_OF = {word: part for part, words in PARTS.items() for word in words.split()}
+#: Elements that are a part of the page by themselves.
+_LANDMARKS = frozenset("article main nav header footer aside form section figure table".split())
+
+
+def part_of(word: str) -> str | None:
+    """The page part that a word of a class, id or role names."""
+    found = _PART_OF.get(word)
+    if found or len(word) < 5:
+        return found
+    return next((p for w, p in _PART_OF.items() if len(w) >= 4 and w in word and p != "content"), None) or next((p for w, p in _PART_OF.items() if len(w) >= 4 and w in word), None)
+
+
+def path_features(path: tuple[str, ...]) -> list[str]:
+    """Features of a block's ancestors: every mark, the parts they name, the innermost of each."""
+    parts = [p for m in path if m[0] == "w" and (p := part_of(m[2:]))]
+    landmarks = [m[2:] for m in path if m[0] == "t" and m[2:] in _LANDMARKS]
+    leaf = next((m for m in reversed(path) if m[0] == "t"), "")
+    inner = landmarks[-1] if landmarks else ""
+    return ["bias", *path, *(f"g:{p}" for p in dict.fromkeys(parts)), f"inner:{inner}", f"last:{parts[-1] if parts else ''}", f"leaf:{leaf}", f"leaf-inner:{leaf}:{inner}"]
+
+
+def shape(b: Block) -> tuple[int, int]:
+    return min(b.text.count(" ") + 1, 64).bit_length(), 4 * b.links // max(1, len(b.text))
+
+
+def text_features(b: Block, before: Block | None, after: Block | None) -> list[str]:
+    length, links = shape(b)
+    out = [f"len:{length}", f"link:{links}", f"end:{b.text[-1] in '.!?:;…\"”'}", f"comma:{min(3, b.text.count(','))}", f"len-link:{length}:{links}", f"copy:{b.text[0] == chr(169)}"]
+    for name, other in (("before", before), ("after", after)):
+        out.append(f"{name}:" + ("{}:{}".format(*shape(other)) if other else "none"))
+    return out
+
+
+def block_features(blocks: list[Block], t: int) -> tuple[list[str], list[str]]:
+    b = blocks[t]
+    return path_features(b.path), text_features(b, blocks[t - 1] if t else None, blocks[t + 1] if t + 1 < len(blocks) else None)
 
 
 class Field:
     """A linear chain over labels 0 (boilerplate) and 1 (content)."""
 
+    #: Paths whose weights are remembered.
+    REMEMBERED = 20_000
+
     def __init__(self, names: dict[str, int], weights: np.ndarray, trans: np.ndarray):
         self.names, self.weights, self.trans = names, weights, trans
+        self.paths: dict[tuple[str, ...], np.ndarray] = {}
+
+    def _sum(self, features: list[str]) -> np.ndarray:
+        return self.weights[[i for f in features if (i := self.names.get(f)) is not None]].sum(axis=0)
+
+    def _path(self, path: tuple[str, ...]) -> np.ndarray:
+        known = self.paths.get(path)
+        if known is None:
+            if len(self.paths) >= self.REMEMBERED:
+                self.paths.clear()
+            known = self.paths[path] = self._sum(path_features(path))
+        return known
 
     def unary(self, blocks: list[Block]) -> np.ndarray:
         out = np.zeros((len(blocks), 2))
         for t, b in enumerate(blocks):
-            at = [i for f in block_features(b) if (i := self.names.get(f)) is not None]
-            out[t] = self.weights[at].sum(axis=0)
+            around = blocks[t - 1] if t else None, blocks[t + 1] if t + 1 < len(blocks) else None
+            out[t] = self._path(b.path) + self._sum(text_features(b, *around))
         return out
 
     def viterbi(self, blocks: list[Block]) -> list[int]:
-        score = self.unary(blocks)
-        back = np.zeros((len(blocks), 2), int)
-        for t in range(1, len(blocks)):
-            step = score[t - 1][:, None] + self.trans
-            back[t] = step.argmax(axis=0)
-            score[t] += step.max(axis=0)
-        path = [int(score[-1].argmax())] if len(blocks) else []
-        for t in range(len(blocks) - 1, 0, -1):
-            path.append(int(back[t][path[-1]]))
+        if not blocks:
+            return []
+        score, (stay0, up), (down, stay1) = self.unary(blocks).tolist(), *self.trans.tolist()
+        a, b = score[0]
+        back = []
+        for u0, u1 in score[1:]:
+            from0, from1 = a + stay0 >= b + down, a + up >= b + stay1
+            a, b = u0 + (a + stay0 if from0 else b + down), u1 + (a + up if from1 else b + stay1)
+            back.append((0 if from0 else 1, 0 if from1 else 1))
+        path = [0 if a >= b else 1]
+        for step in reversed(back):
+            path.append(step[path[-1]])
         return path[::-1]
 
 
-def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 60, l2: float = 1e-3, rate: float = 0.3) -> Field:
-    """Conditional maximum likelihood by AdaGrad; gradients come from forward-backward."""
+def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 80, l2: float = 1e-3, rate: float = 0.3) -> Field:
+    """Conditional maximum likelihood by AdaGrad; gradients come from forward-backward over all pages at once."""
+    pages = [p for p in pages if p[0]]
     names: dict[str, int] = {}
-    rows = [([[names.setdefault(f, len(names)) for f in block_features(b)] for b in blocks], labels) for blocks, labels in pages if blocks]
+    flat, owner, page, place, label = [], [], [], [], []
+    for n, (blocks, labels) in enumerate(pages):
+        for t in range(len(blocks)):
+            for f in (f for some in block_features(blocks, t) for f in some):
+                flat.append(names.setdefault(f, len(names)))
+                owner.append(len(page))
+            page.append(n)
+            place.append(t)
+            label.append(labels[t])
+    flat, owner, page, place, label = (np.array(x, np.int64) for x in (flat, owner, page, place, label))
     w, tr = np.zeros((len(names), 2)), np.zeros((2, 2))
     gw, gt = np.full_like(w, 1e-8), np.full_like(tr, 1e-8)
+    if not pages:
+        return Field(names, w, tr)
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    size = np.bincount(page)
+    most, rows = int(size.max()), len(pages)
+    goal = np.zeros((len(page), 2))
+    goal[np.arange(len(page)), label] = 1
+    steps = place[1:] > 0
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (label[:-1][steps], label[1:][steps]), 1)
+    alive = np.arange(most)[:, None] < size[None, :]
     for _ in range(rounds):
-        dw, dt = -l2 * len(rows) * w, -l2 * tr
-        for feats, labels in rows:
-            u = np.array([w[f].sum(axis=0) for f in feats])
-            n = len(u)
-            fwd, bwd = u.copy(), np.zeros((n, 2))
-            for t in range(1, n):
-                fwd[t] += np.logaddexp.reduce(fwd[t - 1][:, None] + tr, axis=0)
-            for t in range(n - 2, -1, -1):
-                bwd[t] = np.logaddexp.reduce(tr + (u[t + 1] + bwd[t + 1])[None, :], axis=1)
-            z = np.logaddexp.reduce(fwd[-1])
-            marg = np.exp(fwd + bwd - z)
-            for t in range(n):
-                diff = -marg[t]
-                diff[labels[t]] += 1
-                dw[feats[t]] += diff
-                if t:
-                    dt -= np.exp(fwd[t - 1][:, None] + tr + (u[t] + bwd[t])[None, :] - z)
-                    dt[labels[t - 1], labels[t]] += 1
+        u = np.zeros((most, rows, 2))
+        u[place, page] = np.add.reduceat(w[flat], first, axis=0)
+        fwd, bwd, ahead = u.copy(), np.zeros_like(u), np.zeros((2, 2))
+        for t in range(1, most):
+            fwd[t] += np.logaddexp(fwd[t - 1][:, :1] + tr[0], fwd[t - 1][:, 1:] + tr[1])
+        for t in range(most - 2, -1, -1):
+            later = u[t + 1] + bwd[t + 1]
+            step = np.logaddexp(later[:, :1] + tr[:, 0], later[:, 1:] + tr[:, 1])
+            bwd[t] = np.where(alive[t + 1][:, None], step, 0.0)
+        z = np.logaddexp.reduce(fwd[size - 1, np.arange(rows)], axis=1)
+        for t in range(1, most):
+            on = alive[t]
+            both = fwd[t - 1][on][:, :, None] + tr[None] + (u[t] + bwd[t])[on][:, None, :] - z[on][:, None, None]
+            ahead += np.exp(both).sum(axis=0)
+        diff = goal - np.exp(fwd + bwd - z[None, :, None])[place, page]
+        dw = np.stack([np.bincount(flat, diff[owner, y], len(names)) for y in (0, 1)], axis=1) - l2 * rows * w
+        dt = seen - ahead - l2 * tr
         gw += dw * dw
         gt += dt * dt
         w += rate * dw / np.sqrt(gw)
@@ -197,66 +276,115 @@ def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 60, l2: floa
     return Field(names, w, tr)
 
 
-# Words of class and id names that mark page parts, and parts of the made pages.
-_CONTENT_MARKS = ("article", "content", "post", "entry", "story", "main", "body")
-_OTHER_MARKS = (
-    ("nav", "menu navbar navigation breadcrumb toc topnav"), ("header", "header masthead banner top logo"), ("footer", "footer copyright legal bottom"),
-    ("aside", "sidebar side widget related recommended rail"), ("div", "ad ads advert advertisement sponsored promo"), ("div", "cookie consent notice banner gdpr popup modal alert"),
-    ("form", "form search subscribe newsletter login signup"), ("section", "comments comment replies reader discussion respond"), ("div", "share social tags pagination meta"),
+# Elements and marks that carry each part of the made pages, and headings of lists beside an article.
+_OTHER = (
+    ("nav", "nav"), ("header", "header"), ("footer", "footer"), ("aside", "side"), ("div", "side"), ("div", "ad"), ("div", "notice"), ("form", "form"), ("div", "form"), ("section", "comments"), ("div", "comments"), ("div", "meta"), ("ul", "nav"),
+    ("div", "nav"), ("div", "header"), ("div", "footer"), ("section", "side"),
 )
-
-
-def labelled_pages(count: int = 160, seed: int = 11) -> list[tuple[list[Block], list[int]]]:
-    """Made pages of many layouts with the label of each leaf block: a private mark in the text says what it is."""
-    rnd = random.Random(seed)
-
-    def words(low: int, high: int) -> str:
-        return " ".join("".join(rnd.choice("aeioustrnl") for _ in range(rnd.randint(2, 9))) + rnd.choice(("", "", "", "", ",")) for _ in range(rnd.randint(low, high)))
-
-    def sentence() -> str:
-        return words(1, 40).strip(",").capitalize() + rnd.choice((".", ".", ".", "!", "?", ""))
-
-    def content() -> str:
-        out = [f"<h1>\x01{words(1, 9)}</h1>"] if rnd.random() < 0.9 else []
-        for _ in range(rnd.randint(1, 12)):
+_HEADINGS = "Related|Related articles|Read also|More news|Most read|Popular|Trending|Comments|Leave a reply|Share this|Subscribe|Newsletter|Categories|Archive|Search|Menu|About us|Follow us|Advertisement|Tags"
+
+
+class _Maker:
+    """Makes pages; a private mark in each text says whether it is content."""
+
+    def __init__(self, seed: int):
+        self.rnd = random.Random(seed)
+
+    def pick(self, *kinds):
+        return self.rnd.choice(kinds)
+
+    def words(self, low: int, high: int) -> str:
+        return " ".join("".join(self.rnd.choice("aeioustrnl") for _ in range(self.rnd.randint(2, 9))) + self.pick("", "", "", "", ",") for _ in range(self.rnd.randint(low, high)))
+
+    def sentence(self, high: int = 40) -> str:
+        return self.words(1, high).strip(",").capitalize() + self.pick(".", ".", ".", "!", "?", "")
+
+    def paragraph(self) -> str:
+        return " ".join(self.sentence() for _ in range(self.rnd.randint(1, 4)))
+
+    def content_block(self) -> str:
+        kind = self.rnd.random()
+        if kind < 0.6:
+            return f"<p>\x01{self.paragraph()}</p>"
+        if kind < 0.66:
+            return f"<p>\x01<b>{self.paragraph()}<br>"
+        if kind < 0.72:
+            return f"<{self.pick('h2', 'h3', 'h4')}>\x01{self.words(1, 7)}</h2>"
+        if kind < 0.79:
+            return "<ul>" + "".join(f"<li>\x01{self.words(1, 12)}</li>" for _ in range(self.rnd.randint(1, 5))) + "</ul>"
+        if kind < 0.84:
+            return f"<blockquote>\x01{self.paragraph()}</blockquote>"
+        if kind < 0.88:
+            return f"<figure><img src=x><figcaption>\x01{self.sentence(12)}</figcaption></figure>"
+        if kind < 0.92:
+            return "<table>" + "".join("<tr>" + "".join(f"<td>\x01{self.words(1, 3)}</td>" for _ in range(3)) + "</tr>" for _ in range(self.rnd.randint(1, 4))) + "</table>"
+        if kind < 0.96:
+            return f"<p>\x01{self.sentence()} <a href=/x>{self.words(1, 5)}</a> {self.sentence()}</p>"
+        return f"<pre>\x01{self.paragraph()}</pre>"
+
+    def attributes(self, part: str) -> str:
+        mark = self.pick(*PARTS[part].split())
+        return self.pick(f' class="{mark}"', f' id="{mark}"', f' class="{mark} x"', f" class='{mark}-{self.pick('box', 'wrap', 'list', 'links')}'")
+
+    def other(self, tag: str, part: str) -> str:
+        rnd = self.rnd
+        attributes = self.attributes(part) if tag in ("div", "ul", "section") or rnd.random() < 0.6 else ""
+        heading = f"<{self.pick('h2', 'h3', 'h4', 'p', 'b')}>\x02{self.pick(*_HEADINGS.split('|'))}</h3>" if rnd.random() < 0.5 else ""
+
+        def item() -> str:
             kind = rnd.random()
-            body = " ".join(sentence() for _ in range(rnd.randint(1, 4)))
-            if kind < 0.7:
-                out.append(f"<p>\x01{body}</p>")
-            elif kind < 0.8:
-                out.append(f"<p>\x01<b>{body}<br>")
-            elif kind < 0.87:
-                out.append(f"<h2>\x01{words(1, 7)}</h2>")
-            elif kind < 0.94:
-                out.append("<ul>" + "".join(f"<li>\x01{words(1, 12)}</li>" for _ in range(rnd.randint(1, 5))) + "</ul>")
-            else:
-                out.append(f"<blockquote>\x01{body}</blockquote>")
+            if tag == "ul" or kind < 0.25:
+                return f'<li>\x02<a href="/x">{self.words(1, 6)}</a></li>'
+            if kind < 0.45:
+                return f"<p>\x02{self.sentence()}</p>"
+            if kind < 0.6:
+                return f"\x02{self.sentence()}<br>"
+            if kind < 0.72:
+                return f'<a href="/">\x02{self.words(1, 4)}</a>'
+            if kind < 0.8:
+                return f"\x02&copy; {self.words(1, 9)} &middot; {self.sentence()}<br>"
+            if kind < 0.9:
+                return f"<div>\x02{self.paragraph()}</div>"
+            return f"<label>\x02{self.words(1, 3)}</label><input><button>\x02{self.words(1, 2)}</button>" if part == "form" else f"<h3>\x02{self.words(1, 6)}</h3>"
+
+        return f"<{tag}{attributes}>{heading}" + "".join(item() for _ in range(rnd.randint(1, 6))) + f"</{tag}>"
+
+    def article(self, nested: bool) -> str:
+        rnd = self.rnd
+        out = [f"<h1>\x01{self.words(1, 9)}</h1>"] if rnd.random() < 0.85 else []
+        out += [self.content_block() for _ in range(rnd.randint(1, 12))]
+        for _ in range(rnd.randint(1, 4) if nested else 0):
+            out.insert(rnd.randint(0, len(out)), self.other(*self.pick(*_OTHER)))
         return "".join(out)
 
-    def other(tag: str, marks: str) -> str:
-        mark = rnd.choice(marks.split())
-        attr = rnd.choice((f' class="{mark}"', f' id="{mark}"', f' class="{mark} x"', "" if tag != "div" else f' class="{mark}"'))
-        items = "".join(
-            rnd.choice((f'<li>\x02<a href="/x">{words(1, 3)}</a></li>', f"<p>\x02{sentence()}</p>", f"\x02{sentence()}<br>", f'<a href="/">\x02{words(1, 4)}</a>', f"\x02&copy; {words(1, 9)} &middot; {sentence()}<br>"))
-            for _ in range(rnd.randint(1, 6))
-        )
-        return f"<{tag}{attr}>{items}</{tag}>"
-
-    pages = []
-    for _ in range(count):
-        core = content()
-        wrap = rnd.random()
-        if wrap < 0.55:
-            core = f"<article>{core}" + (other("section", "comments comment") if rnd.random() < 0.1 else "") + "</article>"
-        elif wrap < 0.75:
+    def page(self) -> str:
+        rnd = self.rnd
+        core, wrap = self.article(rnd.random() < 0.5), rnd.random()
+        before = "".join(self.other(*self.pick(*_OTHER)) for _ in range(rnd.randint(0, 3)))
+        after = "".join(self.other(*self.pick(*_OTHER)) for _ in range(rnd.randint(0, 3)))
+        if wrap < 0.4:
+            core = f"<article{self.pick('', '', self.attributes('content'))}>{core}</article>"
+        elif wrap < 0.5:
             core = f"<main>{core}</main>"
-        else:
-            core = f'<div class="{rnd.choice(_CONTENT_MARKS)}">{core}</div>'
-        before = [other(*rnd.choice(_OTHER_MARKS[:6])) for _ in range(rnd.randint(0, 3))]
-        after = [other(*rnd.choice(_OTHER_MARKS[1:])) for _ in range(rnd.randint(0, 3))]
-        blocks = leaf_blocks("<html><head><title>x</title></head><body>" + "".join(before) + core + "".join(after) + "</body></html>")
+        elif wrap < 0.75:
+            core = f"<{self.pick('div', 'div', 'section')}{self.attributes('content')}>{core}</div>"
+        elif wrap < 0.85:
+            core = f"<div>{core}</div>"
+        if rnd.random() < 0.2:  # the page is laid out by a table
+            left, right = (self.other(*self.pick(("ul", "nav"), ("div", "side"), ("div", "nav"), ("div", "ad"))) for _ in range(2))
+            core = f"<table><tr><td colspan=2>{before}</td></tr><tr><td>{left}</td><td>{core}</td>{self.pick('', f'<td>{right}</td>')}</tr></table>"
+            before = ""
+        elif rnd.random() < 0.3:
+            core = f'<div class="{self.pick("wrapper", "container", "row", "page")}">{core}{self.other("div", "side")}</div>'
+        return f"<html><head><title>x</title></head><body>{before}{core}{after}</body></html>"
+
+
+def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[list[Block], list[int]]]:
+    """Made pages of many layouts with the label of each leaf block."""
+    maker, pages = _Maker(seed), []
+    for _ in range(count):
         labels, kept, last = [], [], 0
-        for b in blocks:
+        for b in leaf_blocks(maker.page()):
             last = 1 if "\x01" in b.text else 0 if "\x02" in b.text else last
             text = b.text.replace("\x01", "").replace("\x02", "").strip()
             if text:
