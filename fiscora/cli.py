@@ -98,7 +98,7 @@ def run_duplicates(a: argparse.Namespace) -> int:
     spark = session()
 
     def read(name: str, config: dict) -> tuple[DataFrame, str, list[str]]:
-        rows, labels = ooxml.read_sheet(spark, a.workbook, name, int(config.get("header_row", 1)), config.get("data_start_row"), config.get("max_data_row"))
+        rows, labels = ooxml.read_sheet(spark, a.workbook, name, int(config.get("header_row", 1)), config.get("data_start_row"), config.get("max_data_row"), typed=True)
         return rows, "row_number", labels
 
     return _finish(duplicates.audit_workbook_duplicates(ooxml.sheet_names(a.workbook), _object(a.config), read), a.report)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import cell_key, normalize_text, normalized_text, timestamp_ok
@@ -19,9 +19,12 @@ def typed_keys(df: DataFrame, columns: list[str], fold_text: bool = False) -> li
     """A typed key for each column; with fold_text, text is compared in its normal form."""
     kinds, keys = dict(df.dtypes), []
     for c in columns:
-        key = cell_key(df[c], kinds[c])
-        if fold_text and kinds[c] == "string":
-            key = F.struct(key["kind"].alias("kind"), F.when(key["kind"] != "blank", normalize_text(df[c])).alias("value"))
+        held = F.col(f"`{c}`")
+        typed = kinds[c].startswith("struct<kind:")  # a workbook's cell is a key already
+        key = held if typed else cell_key(held, kinds[c])
+        if fold_text and (typed or kinds[c] == "string"):
+            folded = F.when(key["kind"] == "text", normalize_text(key["value"] if typed else held)).otherwise(key["value"])
+            key = F.struct(key["kind"].alias("kind"), folded.alias("value"))
         keys.append(key)
     return keys
 
@@ -45,10 +48,13 @@ def duplicate_groups(df: DataFrame, columns: list[str], row: str, fold_text: boo
 
 
 def duplicate_members(df: DataFrame, columns: list[str], row: str, fold_text: bool = False) -> DataFrame:
-    """The rows of all duplicate groups, with the group's first row and size."""
-    by = Window.partitionBy("_key")
+    """The rows of all duplicate groups, with the group's first row and size.
+
+    The repeated keys are counted and joined back, so that a hot key is a part of many tasks and not one window's task.
+    """
     work = df.withColumn("_key", F.array(*typed_keys(df, columns, fold_text)))
-    return work.withColumn("first_row", F.min(row).over(by)).withColumn("n", F.count("*").over(by)).filter("n > 1").drop("_key")
+    repeated = work.groupBy("_key").agg(F.min(row).alias("first_row"), F.count("*").alias("n")).filter("n > 1")
+    return work.join(repeated, "_key").drop("_key")
 
 
 def incomplete_keys(df: DataFrame, columns: list[str], data: list[str] | None = None) -> DataFrame:

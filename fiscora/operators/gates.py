@@ -14,7 +14,8 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.values import timestamp_ok
-from .lineage import _HEX, WORKBOOK_KIND, country_issues, file_digest, given, local_file, read_object
+from ..functions.contracts import given
+from .lineage import _HEX, WORKBOOK_KIND, country_issues, file_digest, local_file, read_object
 
 # The record's version, states, gates in order, and which reports satisfy a gate.
 VERSION = 5

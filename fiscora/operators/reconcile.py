@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import exact_sum, safe_ratio, to_number
@@ -40,9 +40,13 @@ def input_quality(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def duplicated_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Every row whose key another row has too; null keys are equal."""
-    n = "_n_of_key"
-    return df.withColumn(n, F.count("*").over(Window.partitionBy(*keys))).filter(F.col(n) > 1).drop(n)
+    """Every row whose key another row has too; null keys are equal.
+
+    The repeated keys are counted and joined back: adaptive execution broadcasts them or splits a hot one, a window cannot.
+    """
+    marks = [f"_key_{i}" for i in range(len(keys))]
+    repeated = df.groupBy(*[F.col(k).alias(m) for k, m in zip(keys, marks)]).agg(F.count("*").alias("_n_of_key")).filter("_n_of_key > 1").drop("_n_of_key")
+    return df.join(repeated, reduce(and_, [F.col(k).eqNullSafe(F.col(m)) for k, m in zip(keys, marks)]), "left_semi")
 
 
 def compare(

@@ -5,6 +5,7 @@ Cells are parsed as a stream and given out as they come, so a sheet of any lengt
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 import re
 import zipfile
@@ -19,10 +20,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 DOC_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 PKG_REL = "http://schemas.openxmlformats.org/package/2006/relationships"
-WORKBOOK, RELS, STRINGS, TYPES = "xl/workbook.xml", "xl/_rels/workbook.xml.rels", "xl/sharedStrings.xml", "[Content_Types].xml"
+WORKBOOK, RELS, STRINGS, TYPES, STYLES = "xl/workbook.xml", "xl/_rels/workbook.xml.rels", "xl/sharedStrings.xml", "[Content_Types].xml", "xl/styles.xml"
 CELLS = (
-    "sheet_pos int, sheet string, state string, ref string, col string, col_num int, row int, cell_type string, style string, has_formula boolean, formula string, cached string, value string"
+    "sheet_pos int, sheet string, state string, ref string, col string, col_num int, row int, cell_type string, style string, has_formula boolean, formula string, cached string, value string, kind string"
 )
+#: Number formats of the standard that show dates or times.
+DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)))
 _REF = re.compile(r"([A-Z]+)([0-9]+)")
 
 
@@ -78,14 +81,56 @@ def decode(cell: ET.Element, strings: list[str]) -> str | None:
     return {"1": "true"}.get(raw.text, "false") if kind == "b" else raw.text
 
 
+def date_styles(archive: zipfile.ZipFile) -> frozenset[str]:
+    """The cell styles (by their index, as cells name them) whose number format is a date or a time."""
+    if STYLES not in archive.namelist():
+        return frozenset()
+    root = ET.fromstring(archive.read(STYLES))
+    own = {}
+    for f in root.iterfind(f"{tag('numFmts')}/{tag('numFmt')}"):
+        shown = re.sub(r'"[^"]*"|\\\\.|\[[^\]]*\]', "", f.get("formatCode", ""))  # without quoted text, escapes and colours
+        own[f.get("numFmtId")] = bool(re.search("[dmyhs]", shown, re.I)) and "General" not in shown
+    formats = [x.get("numFmtId", "0") for x in root.iterfind(f"{tag('cellXfs')}/{tag('xf')}")]
+    return frozenset(str(i) for i, f in enumerate(formats) if own.get(f, f.isdigit() and int(f) in DATE_FORMATS))
+
+
+def starts_1904(archive: zipfile.ZipFile) -> bool:
+    properties_ = ET.fromstring(archive.read(WORKBOOK)).find(tag("workbookPr"))
+    return properties_ is not None and properties_.get("date1904") in ("1", "true")
+
+
+def serial_moment(serial: str, from_1904: bool) -> str | None:
+    """A date's serial number as ISO text to the second; the sheet's 29 February 1900, which never was, counts as 60."""
+    try:
+        days = float(serial)
+        start = dt.datetime(1904, 1, 1) if from_1904 else dt.datetime(1899, 12, 31) if days < 60 else dt.datetime(1899, 12, 30)
+        return (start + dt.timedelta(seconds=round(days * 86400))).isoformat(timespec="seconds")
+    except (ValueError, OverflowError):
+        return None
+
+
+def kind_of(cell: ET.Element, shown: str | None, dates: frozenset[str]) -> str:
+    """Text, number, bool, date or blank; a formula stands as its text."""
+    if cell.find(tag("f")) is not None:
+        return "text"
+    if shown is None or not shown.strip():
+        return "blank"
+    said = cell.get("t") or "n"
+    return {"b": "bool", "d": "date", "n": "date" if cell.get("s") in dates else "number"}.get(said, "text")
+
+
 def cells_of(path: str, sheet: dict) -> Iterator[tuple]:
-    """The cells of a sheet; references that are none are skipped."""
+    """The cells of a sheet; references that are none are skipped.  Rows are dropped from the tree as they are read."""
     with zipfile.ZipFile(path) as archive:
-        strings = shared_strings(archive)
+        strings, dates, from_1904 = shared_strings(archive), date_styles(archive), starts_1904(archive)
         with archive.open(sheet["member"]) as stream:
-            for _, el in ET.iterparse(stream):
-                if el.tag == tag("row"):
-                    el.clear()
+            rows = None
+            for event, el in ET.iterparse(stream, ("start", "end")):
+                if event == "start":
+                    rows = el if el.tag == tag("sheetData") else rows
+                    continue
+                if el.tag == tag("row") and rows is not None:
+                    rows.clear()
                 if el.tag != tag("c"):
                     continue
                 if m := _REF.fullmatch(el.get("r", "")):
@@ -93,10 +138,14 @@ def cells_of(path: str, sheet: dict) -> Iterator[tuple]:
                     column = 0
                     for ch in letters:
                         column = column * 26 + ord(ch) - 64
-                    f, raw = el.find(tag("f")), el.find(tag("v"))
+                    f, raw, shown = el.find(tag("f")), el.find(tag("v")), decode(el, strings)
+                    kind = kind_of(el, shown, dates)
+                    if kind == "date" and el.get("t") != "d":
+                        moment = serial_moment(shown, from_1904)
+                        shown, kind = (shown, "number") if moment is None else (moment, kind)
                     yield (
                         sheet["position"], sheet["name"], sheet["state"], m.group(), letters, column, int(number), el.get("t"), el.get("s"), f is not None,
-                        None if f is None else f.text or "", None if raw is None else raw.text, decode(el, strings),
+                        None if f is None else f.text or "", None if raw is None else raw.text, shown, kind,
                     )
                 el.clear()
 
@@ -164,10 +213,11 @@ def properties(path: str) -> dict:
     return {"calculation": {} if calc is None else dict(calc.attrib), "macro_enabled": "xl/vbaProject.bin" in members, "external_link_members": links}
 
 
-def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1, data_start_row: int | None = None, max_data_row: int | None = None, row_column: str = "row_number") -> tuple[DataFrame, list[str]]:
+def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, header_row: int = 1, data_start_row: int | None = None, max_data_row: int | None = None, row_column: str = "row_number", typed: bool = False) -> tuple[DataFrame, list[str]]:
     """A sheet's rows by header, with their numbers; formulas stand as their text, not their value.
 
-    Columns are as text; labels that repeat get their column's letters.  Returns the rows and the labels as they are.
+    Columns are text, or with `typed` struct(kind, value), where numbers of equal value have one text.  Labels that repeat
+    get their column's letters.  Returns the rows and the labels as they are.
     """
     name = sheet or sheet_names(path)[0]
     start = data_start_row or header_row + 1
@@ -181,5 +231,11 @@ def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, header_
     if not head:
         return spark.createDataFrame([], f"`{row_column}` int"), []
     inside = (F.col("row") >= start) if max_data_row is None else (F.col("row") >= start) & (F.col("row") <= max_data_row)
-    columns = [F.max(F.when(F.col("col_num") == h["col_num"], shown)).alias(h["label"] if labels.count(h["label"]) == 1 else f"{h['label']} ({h['col']})") for h in head]
+    if typed:
+        number = F.when(F.col("kind") == "number", (shown.try_cast("double") + F.lit(0.0)).cast("string"))
+        held = F.struct(F.coalesce("kind", F.lit("blank")).alias("kind"), F.when(F.col("kind") != "blank", F.coalesce(number, shown)).alias("value"))
+        blank = F.struct(F.lit("blank").alias("kind"), F.lit(None).cast("string").alias("value"))
+    else:
+        held, blank = shown, F.lit(None).cast("string")
+    columns = [F.coalesce(F.max(F.when(F.col("col_num") == h["col_num"], held)), blank).alias(h["label"] if labels.count(h["label"]) == 1 else f"{h['label']} ({h['col']})") for h in head]
     return cells.filter(inside).groupBy(F.col("row").alias(row_column)).agg(*columns), labels

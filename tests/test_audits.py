@@ -245,7 +245,7 @@ def test_coverage_1_empty_datasets_fail(spark):
 def test_coverage_2_unreviewed_gap_fails(spark):
     r = cover(spark, contract(accepted_no_data=[{"target": "Central", "reason": "none"}]))
     said = " ".join(r.blockers)
-    assert all(f"accepted_no_data[0].{f}" in said for f in ("owner", "evidence", "checked_at"))
+    assert all(f"accepted_no_data[0].{f}: " in said for f in ("owner", "evidence", "checked_at"))
 
 
 def test_coverage_3_reviewed_gap_passes(spark):
@@ -259,7 +259,7 @@ def test_coverage_mapping_gaps_and_values(spark):
     assert r.passed and r.facts["datasets"][0]["mapped_target_count"] == 2
     rows = [("North", 2023, -1.0), ("N.", 2023, None), ("", 2022, 3.0), ("Nowhere", 2023, 1.0)]
     said = " ".join(cover(spark, contract(mapping={"N.": "North", "gone": "Lost"}), rows).blockers)
-    for part in ("outside target boundaries: ['Nowhere']", "mapping targets outside target boundaries: ['Lost']", "1 rows have empty source names", "1 rows have null population", "1 rows have negative population", "2 rows duplicate target keys", "many-to-one", "without any data: ['Central']", "required year coverage gaps"):
+    for part in ("1 source name(s) that lead to no target unit: ['Nowhere']", "1 mapping target(s) that are no target unit: ['Lost']", "1 row(s) without a source name", "1 row(s) without a value", "1 row(s) with a value below zero", "2 row(s) that share a target key", "1 target unit(s) that several source names lead to: ['North']", "1 target unit(s) without a row: ['Central']", "1 required year(s) that target units lack: [(2023, 'Central')]"):
         assert part in said, part
     summed = cover(spark, contract(mapping={"N.": "North"}, aggregation="sum", allow_negative=True), [("North", 2023, -1.0), ("N.", 2023, 1.0), ("Central", 2023, 1.0)])
     assert summed.passed, summed.blockers
@@ -267,14 +267,42 @@ def test_coverage_mapping_gaps_and_values(spark):
 
 def test_coverage_boundaries_and_load_errors(spark):
     said = " ".join(cover(spark, contract(), names=("North", "North", ""), geometry=None).blockers)
-    for part in ("1 boundaries have empty names", "duplicate boundary names: ['North']", "expected 2 target units, found 1", "3 boundaries have missing geometry"):
+    for part in ("1 boundary(s) with a blank name", "1 boundary(s) with a repeated name: ['North']", "1 target unit(s) instead of 2", "3 boundary(s) with a missing geometry"):
         assert part in said
     failed = coverage.audit_coverage(contract(), None, {"population": OSError("gone")}, boundary_error="no file")
-    assert "boundary input could not be loaded: no file" in failed.blockers and "dataset could not be audited" in " ".join(failed.blockers)
+    assert "the boundaries were not read: no file" in failed.blockers and "population: the data were not read: gone" in failed.blockers
     units = spark.createDataFrame([("North", None)], "name string, geometry string")
     table_only = coverage.audit_coverage(contract(), units, {}, has_geometry=False)
-    assert "geometry validity cannot be checked for a table" in table_only.blockers
-
+    assert "geometries were not looked at: a table of boundaries has none" in table_only.blockers
+
+
+def test_coverage_lists_say_where_they_are_cut(spark):
+    """Counts and tables hold everything; a report lists the first and says so."""
+    rows = [(f"stray{i:03d}", 2023, 1.0) for i in range(30)] + [("North", 2023, 1.0)]
+    df = spark.createDataFrame(rows, "region string, year int, population double")
+    units = spark.createDataFrame([(n, POINT) for n in ("North", *(f"unit{i:03d}" for i in range(30)))], "name string, geometry string")
+    r = coverage.audit_coverage(contract(required_years=[2023, 2024]), units, {"population": df}, most=10)
+    said = r.facts["datasets"][0]
+    assert said["counts"] == {"stray_name": 30, "no_data": 30, "year_gap": 61} and len(said["unmatched_mapped_names"]) == 10 == len(said["target_without_any_data"])
+    assert said["truncated_lists"] == ["no_data", "stray_name", "year_gap", "target_without_any_data"] and "['stray000'" in " ".join(r.blockers) and "and more" in " ".join(r.blockers)
+    assert r.tables["population/findings"].count() == 121 and r.facts["target"]["units_truncated"]
+    whole = coverage.audit_coverage(contract(), units, {"population": df}).facts["datasets"][0]
+    assert len(whole["unmatched_mapped_names"]) == 30 and whole["truncated_lists"] == []
+
+
+def test_coverage_contract_issues(spark):
+    bare = lambda spec: " ".join(coverage.audit_coverage(spec, None, {}).blockers)
+    for change, said in (
+        ({"country": " "}, "country: text is wanted"), ({"subnational_required": False}, "subnational_required: true is wanted"), ({"required_dataset_names": []}, "required_dataset_names: a list of 1 or more"), ({"required_dataset_names": ["a", "a"]}, "required_dataset_names: 'a' stands 2 times"),
+        ({"required_dataset_names": ["other"]}, "datasets: other is required and not there"), ({"target": None}, "target: an object is wanted"), ({"datasets": [{"name": "x"}]}, "dataset x.role: text is wanted"),
+    ):
+        assert said in bare(contract() | change), said
+    target = contract()["target"]
+    for count, said in ((None, "a whole number"), ("x", "a whole number"), (0, "one or more is wanted"), ("2", "0 target unit(s) instead of 2")):
+        assert said in bare(contract() | {"target": target | {"expected_unit_count": count}})
+    assert "required_complete: true is wanted" in bare(contract(required_complete=False))
+    assert "accepted_no_data: 'Central' stands 2 times" in " ".join(cover(spark, contract(accepted_no_data=[{"target": "Central", **EVIDENCE}] * 2)).blockers)
+    assert "1 accepted gap(s) that are no target unit: ['Mars']" in " ".join(cover(spark, contract(accepted_no_data=[{"target": "Mars", **EVIDENCE}])).blockers)
 
 SQUARE = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
 

@@ -57,7 +57,7 @@ def test_coverage(spark, tmp_path):
     (tmp_path / "b.geojson").unlink()
     (tmp_path / "p.csv").unlink()
     assert run("coverage", "--contract", tmp_path / "c.json", "--report", tmp_path / "r.json") == 1
-    assert "boundary input could not be loaded" in (tmp_path / "r.json").read_text()
+    assert "the boundaries were not read" in (tmp_path / "r.json").read_text()
 
 
 def test_workbooks(spark, book, tmp_path):  # noqa: F811

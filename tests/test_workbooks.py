@@ -113,7 +113,10 @@ def test_verify_finds_other_changes(spark, book, tmp_path):
     r = workbook.verify_patch(spark, book, out, [PATCH])
     assert r.facts["unexpected_changed_cells"] == ["Out!A1"]
     same = workbook.verify_patch(spark, book, book, [PATCH])
-    assert "output does not ask for automatic full recalculation" in same.blockers and "stale xl/calcChain.xml remains" in same.blockers
+    assert "the workbook does not ask to be calculated anew in full" in same.blockers and "member xl/calcChain.xml: left in the archive" in same.blockers
+    assert "1 cell(s): has another formula: ['Out!A3']" in same.blockers
+    other = workbook.verify_patch(spark, book, out, [PATCH | {"old_formula": "=7"}, PATCH | {"cell": "Z9"}])
+    assert other.facts["cell_reasons"] == {"had another formula": 1, "no such cell": 1, "not in the patch": 1}
 
 
 def test_sheet_as_table_and_its_duplicates(spark, book, tmp_path):
@@ -133,6 +136,53 @@ def test_sheet_as_table_and_its_duplicates(spark, book, tmp_path):
         ooxml.read_sheet(spark, book, "Raw", header_row=0)
 
 
+def keyed_book(path, *values, styles=None):
+    """A sheet row_id, amount: the row ids are (value, kind, style) and amounts differ."""
+    cells = [cell("A1", "row_id", kind="inlineStr"), cell("B1", "amount", kind="inlineStr")]
+    for i, (value, kind, style) in enumerate(values, 2):
+        cells += [cell(f"A{i}", value, kind=kind, style=style), cell(f"B{i}", 10 * i)]
+    made = make(path, {"Raw": cells})
+    if styles:
+        with zipfile.ZipFile(made, "a") as z:
+            z.writestr("xl/styles.xml", styles)
+    return made
+
+
+def run_duplicates(path, tmp_path, **sheet):
+    from fiscora import cli
+
+    whole = {"name": "Raw", "role": "raw", "check_duplicate_headers": True, "check_exact_rows": True, "key_columns": ["row_id"]} | sheet
+    (tmp_path / "config.json").write_text(json.dumps({"check_normalized_sheet_names": True, "sheets": [whole]}))
+    code = cli.main(["duplicates", "--workbook", path, "--config", str(tmp_path / "config.json"), "--report", str(tmp_path / "report.json")])
+    return code, json.loads((tmp_path / "report.json").read_text())["blockers"]
+
+
+REVIEWED = {"reason": "r", "owner": "o", "evidence": "e", "checked_at": "2026-01-01T00:00:00Z"}
+
+
+def test_reviewed_exception_on_a_workbook(spark, tmp_path):
+    """The key is a number in the sheet and in the exception."""
+    path = keyed_book(tmp_path / "k.xlsx", (1, None, None), (1, None, None))
+    assert run_duplicates(path, tmp_path) == (1, ["Raw: 1 unexpected duplicate business-key group(s)"])
+    assert run_duplicates(path, tmp_path, allowed_duplicate_keys=[{"values": [1], **REVIEWED}]) == (0, [])
+    assert run_duplicates(path, tmp_path, allowed_duplicate_keys=[{"values": ["1"], **REVIEWED}])[0] == 1
+
+
+def test_typed_keys_of_a_workbook(spark, tmp_path):
+    repeated = lambda *values, **more: run_duplicates(keyed_book(tmp_path / "t.xlsx", *values, **more), tmp_path)[0] == 1
+    assert not repeated((1, None, None), ("1", "inlineStr", None))  # a number is no text
+    assert repeated((1, None, None), ("1.0", "n", None)) and repeated(("1e2", None, None), (100, "n", None))
+    assert not repeated((1, "b", None), (1, None, None)) and repeated((1, "b", None), (1, "b", None))
+    styles = f'<styleSheet xmlns="{MAIN}"><numFmts><numFmt numFmtId="164" formatCode="[Red]dd/mm/yyyy"/><numFmt numFmtId="165" formatCode="0.0&quot;days&quot;"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    assert not repeated((45292, None, "1"), (45292, None, "0"), styles=styles) and repeated((45292, None, "1"), (45292, None, "2"), styles=styles)
+    assert repeated((45292, None, "3"), (45292, None, "0"), styles=styles) and repeated((45292, None, "1"), ("2024-01-01T00:00:00", "d", None), styles=styles)
+    rows, _ = ooxml.read_sheet(spark, keyed_book(tmp_path / "t.xlsx", (45292.5, None, "1"), (" ", "inlineStr", None), (True, "b", None), ("#N/A", "e", None), styles=styles), "Raw", typed=True)
+    seen = {r["row_number"]: tuple(r["row_id"]) for r in rows.collect()}
+    assert seen == {2: ("date", "2024-01-01T12:00:00"), 3: ("blank", None), 4: ("bool", "false"), 5: ("text", "#N/A")}
+    assert ooxml.serial_moment("1", False) == "1900-01-01T00:00:00" and ooxml.serial_moment("61", False) == "1900-03-01T00:00:00" and ooxml.serial_moment("0", True) == "1904-01-01T00:00:00"
+    assert ooxml.serial_moment("x", False) is None and ooxml.serial_moment("1e300", False) is None
+
+
 def test_corrupt_member(tmp_path, book):
     data = bytearray(open(book, "rb").read())
     at = data.find(b"sheetData")
