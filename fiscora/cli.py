@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import bootstrap, coverage, duplicates, flags, gates, lineage, overlap, reconcile, workbook
-from .report import Report, encode
+from .report import Report, encode, write_csv
 from .sources import ooxml, tables
 
 
@@ -68,7 +68,7 @@ def run_overlap(a: argparse.Namespace) -> int:
         for name, table in report.tables.items():
             if name.endswith("/pairs_by_year"):
                 measures = [c.removesuffix("_overlap") for c in table.columns if c.endswith("_overlap")]
-                overlap.pair_detail(table, measures).write.mode("overwrite").option("header", True).csv(f"{a.detail_csv}/{name.removesuffix('/pairs_by_year')}")
+                write_csv(overlap.pair_detail(table, measures), f"{a.detail_csv}/{name.removesuffix('/pairs_by_year')}")
     return _finish(report, a.report)
 
 
@@ -107,7 +107,7 @@ def run_duplicates(a: argparse.Namespace) -> int:
 def run_workbook(a: argparse.Namespace) -> int:
     report = workbook.audit_workbook(session(), a.workbook, a.limit)
     if a.sheet_csv:
-        workbook.sheet_table(report.tables).write.mode("overwrite").option("header", True).csv(a.sheet_csv)
+        write_csv(workbook.sheet_table(report.tables), a.sheet_csv)
     return _finish(report, a.report)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import exact_sum, safe_ratio
@@ -16,7 +16,11 @@ def owner_cascade(rules: list[tuple[Column, str]], otherwise: str | None = None)
 
 
 def label_codes(df: DataFrame, column: str, dictionary: DataFrame, code: str, labels: list[str]) -> DataFrame:
-    """Canonical labels of codes; unknown codes stay, with null labels."""
+    """Canonical labels of codes; unknown codes stay, with null labels.
+
+    A code that the dictionary repeats gives a row each; repeated_keys(dictionary, [code]) finds them, as it does for the
+    sources of J08's mapping and the keys of J10's population.
+    """
     side = dictionary.select(F.col(code).alias("_code"), *labels)
     return df.join(side, df[column] == F.col("_code"), "left").drop("_code")
 
@@ -128,14 +132,21 @@ def map_ranges(values: DataFrame, name: str, measure: str, boundaries: DataFrame
     )
 
 
-def registry_problems(gold: dict[str, DataFrame], aggregate: DataFrame, registered: list[str], country: str = "country_name", year: str = "year") -> list[str]:
-    """Each country registered once, its columns in the aggregate, and no country-year lost."""
+def lost_years(gold: dict[str, DataFrame], aggregate: DataFrame, country: str = "country_name", year: str = "year") -> DataFrame:
+    """(country, year) of every country-year that the aggregate lacks."""
+    held = aggregate.select(F.col(country).alias("country"), F.col(year).cast("long").alias("year")).distinct()
+    every = reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("country"), F.col(year).cast("long").alias("year")).distinct() for name, df in sorted(gold.items())])
+    return every.join(held, ["country", "year"], "left_anti")
+
+
+def registry_problems(gold: dict[str, DataFrame], aggregate: DataFrame, registered: list[str], country: str = "country_name", year: str = "year", most: int = 100) -> list[str]:
+    """Each country registered once, its columns in the aggregate, and no country-year lost (all: lost_years)."""
     issues = [f"country registered {registered.count(c)} times: {c}" for c in sorted(gold) if registered.count(c) != 1]
-    for name, df in sorted(gold.items()):
-        if lacks := sorted(set(df.columns) - set(aggregate.columns)):
-            issues.append(f"aggregate lacks columns of {name}: {lacks}")
-        lost = df.select(year).distinct().join(aggregate.filter(F.col(country) == name).select(F.col(year).alias("_y")).distinct(), F.col(year) == F.col("_y"), "left_anti")
-        years = [r[0] for r in lost.orderBy(year).limit(100).collect()]
-        if years:
-            issues.append(f"aggregate lost years of {name}: {years}")
-    return issues
+    issues += [f"aggregate lacks columns of {name}: {lacks}" for name, df in sorted(gold.items()) if (lacks := sorted(set(df.columns) - set(aggregate.columns)))]
+    lost = lost_years(gold, aggregate, country, year)
+    counts = {r["country"]: r["n"] for r in lost.groupBy("country").agg(F.count("*").alias("n")).collect()}
+    order = Window.partitionBy("country").orderBy("year")
+    first: dict[str, list[int]] = {}
+    for r in lost.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= most).orderBy("country", "year").collect():
+        first.setdefault(r["country"], []).append(r["year"])
+    return issues + [f"aggregate lost years of {name}: {first[name]}" + (f" and {n - most} more" if n > most else "") for name, n in sorted(counts.items())]

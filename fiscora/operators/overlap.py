@@ -149,7 +149,8 @@ def check_config(config: dict) -> list[str]:
 
 
 def audit_overlaps(config: dict, rules: list[dict], dictionary: list[dict], inputs: dict[str, DataFrame], scale: int | None = None) -> Report:
-    """C02.  inputs: a DataFrame for each range of the config, read once for all stages.
+    """C02.  inputs: a DataFrame for each range of the config.  A range and stage reads its input three times: for the rows
+    that each rule matches, for the sums by set of codes (kept, and released at the end), and for doubles within a rule.
 
     Pairwise amounts are not to be added up; net excess is the total.  It is reported but blocks nothing by itself.
     """
@@ -217,6 +218,7 @@ def audit_overlaps(config: dict, rules: list[dict], dictionary: list[dict], inpu
             twice = [of | {k: v for k, v in r.asDict().items() if k != "rule"} | {"formula_cell": usable[r["rule"]].source.get("formula_cell"), "sample_formula": usable[r["rule"]].source.get("sample_formula")} for r in made["self_doubles"].orderBy("rule").collect()]
             pairs, excess, doubles = pairs + mine, excess + over, doubles + twice
             ranges.append(of | {"selected_rules": len(chosen), "expected_codes": expected, "selected_codes": codes, "missing_expected_codes": lacking, "unexpected_codes": extra, "codes_with_masks": len(masks), "overlap_pairs": len(mine), "within_formula_self_doubles": len(twice), "net_excess_groups": len(over)})
+            met.unpersist()
     unresolved = [c for c in coverage if c["status"] != "SUPPORTED"]
     blockers = issues + [f"{len(x)} {what}" for x, what in ((pairs, "overlapping pair(s)"), (doubles, "double(s) within a rule"), (unresolved, "rule(s) not fully supported")) if x]
     facts = {
@@ -226,6 +228,12 @@ def audit_overlaps(config: dict, rules: list[dict], dictionary: list[dict], inpu
     return Report("overcounting", blockers, encode(facts), tables)
 
 
+def first_rules(rules: DataFrame, code: str, order: str, columns: list[str]) -> DataFrame:
+    """W03 over a table: of each code the columns of its first rule, by one grouping."""
+    first = F.min_by(F.struct(*columns), order).alias("_first")
+    return rules.groupBy(code).agg(first).select(code, *[F.col(f"_first.{c}").alias(c) for c in columns])
+
+
 def pair_detail(df: DataFrame, measures: list[str]) -> DataFrame:
     """One row a pair and year."""
     return df.select("scope", "tag_kind", "level", "code_a", "code_b", "year", "rows", *[f"{m}_overlap" for m in measures])

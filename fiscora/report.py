@@ -25,6 +25,11 @@ def encode(value: object) -> object:
     return value
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A table as CSV with a header; white space around values stays (the writer would cut it)."""
+    df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 @dataclass
 class Report:
     """`facts` are small and collected; `tables` are DataFrames that nobody has computed yet."""
@@ -58,7 +63,7 @@ class Report:
 
     def write_table(self, name: str, path: str) -> None:
         """A detail table as CSV with a header, written by the executors."""
-        self.tables[name].write.mode("overwrite").option("header", True).csv(path)
+        write_csv(self.tables[name], path)
 
 
 def sample(df: DataFrame, order: list[str], limit: int) -> list[dict]:

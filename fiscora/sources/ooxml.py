@@ -10,6 +10,7 @@ import posixpath
 import re
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from xml.etree import ElementTree as ET
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,20 @@ DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range
 _REF = re.compile(r"([A-Z]+)([0-9]+)")
 
 
+@contextmanager
+def open_archive(path: str) -> Iterator[zipfile.ZipFile]:
+    """A workbook at a path of this machine, or at the URI of a store that every executor can open."""
+    if "://" not in path or path.startswith("file://"):
+        with zipfile.ZipFile(path.removeprefix("file://")) as archive:
+            yield archive
+        return
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(path)
+    with store.open_input_file(place) as stream, zipfile.ZipFile(stream) as archive:
+        yield archive
+
+
 def tag(name: str, space: str = MAIN) -> str:
     return f"{{{space}}}{name}"
 
@@ -63,7 +78,7 @@ def shared_strings(archive: zipfile.ZipFile) -> list[str]:
 
 def check_archive(path: str) -> None:
     """Raises where a member fails its checksum."""
-    with zipfile.ZipFile(path) as archive:
+    with open_archive(path) as archive:
         if bad := archive.testzip():
             raise ValueError(f"corrupt workbook member in {path}: {bad}")
 
@@ -121,7 +136,7 @@ def kind_of(cell: ET.Element, shown: str | None, dates: frozenset[str]) -> str:
 
 def cells_of(path: str, sheet: dict) -> Iterator[tuple]:
     """The cells of a sheet; references that are none are skipped.  Rows are dropped from the tree as they are read."""
-    with zipfile.ZipFile(path) as archive:
+    with open_archive(path) as archive:
         strings, dates, from_1904 = shared_strings(archive), date_styles(archive), starts_1904(archive)
         with archive.open(sheet["member"]) as stream:
             rows = None
@@ -160,7 +175,7 @@ class CellReader(DataSourceReader):
         self.path, self.only = path, only
 
     def partitions(self) -> list[SheetPartition]:
-        with zipfile.ZipFile(self.path) as archive:
+        with open_archive(self.path) as archive:
             return [SheetPartition(s) for s in sheets_of(archive) if "error" not in s and self.only in (None, s["name"])]
 
     def read(self, partition: SheetPartition) -> Iterator[tuple]:
@@ -169,7 +184,7 @@ class CellReader(DataSourceReader):
 
 
 class WorkbookSource(DataSource):
-    """spark.read.format("workbook_cells").option("path", ...), of a path that every executor can open."""
+    """spark.read.format("workbook_cells").option("path", ...), of a path or URI that every executor can open."""
 
     @classmethod
     def name(cls) -> str:
@@ -189,13 +204,13 @@ def read_cells(spark: SparkSession, path: str, sheet: str | None = None) -> Data
 
 
 def sheet_names(path: str) -> list[str]:
-    with zipfile.ZipFile(path) as archive:
+    with open_archive(path) as archive:
         return [s["name"] for s in sheets_of(archive)]
 
 
 def defined_names(path: str) -> list[dict]:
     """S13."""
-    with zipfile.ZipFile(path) as archive:
+    with open_archive(path) as archive:
         root = ET.fromstring(archive.read(WORKBOOK))
     out = []
     for n in root.iterfind(f"{tag('definedNames')}/{tag('definedName')}"):
@@ -206,7 +221,7 @@ def defined_names(path: str) -> list[dict]:
 
 def properties(path: str) -> dict:
     """Calculation settings, macros, members of external links."""
-    with zipfile.ZipFile(path) as archive:
+    with open_archive(path) as archive:
         calc = ET.fromstring(archive.read(WORKBOOK)).find(tag("calcPr"))
         members = archive.namelist()
     links = sorted(m for m in members if re.fullmatch(r"xl/externalLinks/externalLink\d+\.xml", m))
