@@ -109,6 +109,46 @@ def test_open_groups_equals_all_pairs():
     assert [trees.find(i) for i in range(len(texts))] == [brute.find(i) for i in range(len(texts))]
 
 
+def test_groups_bound_every_link():
+    """Groups of similar sets: their bounds never shut out a link, and the matrix of unions shuts out most strangers."""
+    rnd = random.Random(7)
+    texts = []
+    for _ in range(30):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randint(40, 400))]
+        for _ in range(rnd.randint(1, 30)):
+            w = list(base)
+            for _ in range(rnd.randrange(4)):
+                w[rnd.randrange(len(w))] = f"x{rnd.randrange(9999)}"
+            texts.append(" ".join(w))
+    sets = [s for _, s in sorted(shingle_sets(pa.array(sorted(set(texts))), 4))]
+    sets.sort(key=lambda s: (int(s[0]), len(s)))
+    sizes, least = np.array([len(s) for s in sets]), np.array([int(s[0]) for s in sets], np.uint64)
+    column = pa.array([jaccard.bitmap(s, jaccard.bitmap_words(len(s))).tobytes() for s in sets], pa.binary())
+    maps = jaccard.Bitmaps(column)
+    runs = jaccard.form_groups(np.arange(len(sets)), sizes, least, maps, 85)
+    assert [r[0] for r in runs] == [0, *(r[1] for r in runs[:-1])] and runs[-1][1] == len(sets) and max(b - a for a, b in runs) > 3 and all(b - a <= jaccard.GROUP for a, b in runs)
+    rows = [maps.flat[maps.at[a:b][:, None] + np.arange(maps.width[a])] for a, b in runs]
+    groups = jaccard.GroupMaps(pa.array([np.bitwise_or.reduce(r).tobytes() for r in rows], pa.binary()), pa.array([None if len(r) == 1 else np.bitwise_and.reduce(r).tobytes() for r in rows], pa.binary()))
+    low, high = (np.array([f(sizes[a:b]) for a, b in runs]) for f in (min, max))
+    shut = 0
+    of = np.repeat(np.arange(len(runs)), [b - a for a, b in runs])
+    i, j = np.triu_indices(len(runs), 1)
+    bound = dict(zip(zip(i.tolist(), j.tolist()), (groups.apart(i, j) <= jaccard.differences(high[i], high[j], 85)).tolist()))
+    for x in range(len(sets)):
+        for y in range(x):
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if of[x] != of[y]:
+                if 100 * both >= 85 * (sizes[x] + sizes[y] - both):
+                    assert bound[int(of[y]), int(of[x])]
+    shut = sum(not ok for ok in bound.values())
+    assert shut > 0.8 * len(bound)
+
+
+def test_repeated_rows_are_sent_once():
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 6), pa.array([5, 5, 5, 6, 6, 5]), pa.array(["a", "a", "b", "a", None, "a"])], names=["root", "node", "_text"])
+    assert sum(b.num_rows for b in jaccard._once(iter([batch, batch]))) == 4
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (8, 7), (20, 20), (30, 31), (31, 30), (30, 31)] + [(100, 100 + i) for i in range(1, 50)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
