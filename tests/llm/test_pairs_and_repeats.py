@@ -96,8 +96,8 @@ def test_a_wide_family_of_chains_and_strays(spark):
         n += 1
     rnd.shuffle(rows)
     want = linked(rows, 4, 85)
-    for block in (5, 40):
-        same(map(tuple, jaccard.linked(frame(spark, rows), family_block=block).collect()), want)
+    for family_block, block in ((5, 7), (40, 1024)):
+        same(map(tuple, jaccard.linked(frame(spark, rows), family_block=family_block, block=block).collect()), want)
 
 
 def test_linked_empty_table(spark):
