@@ -19,8 +19,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
-    found = langid.identify(table(spark, sf_dir, "documents"), ~held_out)
+    # a null id has no remainder: it is not held out, and nothing is learned from its row
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    held_out = F.coalesce(remainder == 2, F.lit(False))
+    found = langid.identify(table(spark, sf_dir, "documents"), F.coalesce(remainder != 2, F.lit(False)))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
