@@ -56,7 +56,7 @@ def same(got, expected):
     assert sorted(got, key=key) == sorted(expected, key=key)
 
 
-@pytest.mark.parametrize("k, percent, options", [(4, 85, {}), (5, 80, {}), (4, 85, {"hot": 2, "block": 3, "broadcast_rows": 0}), (4, 85, {"block_tokens": 300}), (2, 50, {"hot": 1, "max_hot": 5, "block": 2, "family_block": 2}), (4, 85, {"family_block": 2}), (5, 80, {"family_block": 3, "broadcast_rows": 0})])
+@pytest.mark.parametrize("k, percent, options", [(4, 85, {}), (5, 80, {}), (4, 85, {"hot": 2, "block": 3, "broadcast_rows": 0}), (4, 85, {"block_tokens": 300}), (2, 50, {"hot": 1, "max_hot": 5, "block": 2, "pairs_up_to": 1}), (4, 85, {"block": 2, "pairs_up_to": 2}), (5, 80, {"block": 3, "pairs_up_to": 1, "broadcast_rows": 0})])
 def test_linked_equals_brute_force(spark, k, percent, options):
     rows = documents()
     got = jaccard.linked(frame(spark, rows), k=k, percent=percent, **options).collect()
@@ -96,8 +96,8 @@ def test_a_wide_family_of_chains_and_strays(spark):
         n += 1
     rnd.shuffle(rows)
     want = linked(rows, 4, 85)
-    for family_block, block in ((5, 7), (40, 1024)):
-        same(map(tuple, jaccard.linked(frame(spark, rows), family_block=family_block, block=block).collect()), want)
+    for block, pairs_up_to in ((7, 1), (20, 2)):
+        same(map(tuple, jaccard.linked(frame(spark, rows), block=block, pairs_up_to=pairs_up_to).collect()), want)
 
 
 def test_linked_empty_table(spark):
