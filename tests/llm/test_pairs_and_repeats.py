@@ -211,3 +211,29 @@ def test_intervals(found):
     assert all(d[i] < d[i + 1] or b[i] + 1 < a[i + 1] for i in range(len(d) - 1))
     again = substring.unpack_intervals(substring.pack_intervals(d, a, b))
     assert all((x == y).all() for x, y in zip(again, (d, a, b)))
+
+
+def test_columns_of_the_same_groups_are_one():
+    pairs = [(t, g) for t in range(40) for g in (7, 9)] + [(50, 7)] + [(60, g) for g in range(70)] + [(61, g) for g in range(70)] + [(70, 7), (70, 9), (70, 11)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs[a : a + 33])], names=["t", "g"]) for a in range(0, len(pairs), 33)]
+    found: dict[int, set] = {}
+    for b in jaccard.merged_columns(iter(batches)):
+        for t, g, c in zip(*(x.to_pylist() for x in b.columns)):
+            found.setdefault(t, set()).add((g, c))
+    assert sorted(map(sorted, found.values())) == sorted([[(7, 2), (9, 2)], [(7, 3), (9, 3), (11, 3)], *[[(g, 70) for g in range(70)]] * 2])
+    assert {60, 61} <= set(found)
+
+
+def test_frequent_tokens_are_counted_over_all_rows():
+    texts = [f"a b c d {i} e f g {i % 3} h" for i in range(90)]
+    batch = lambda some: pa.RecordBatch.from_arrays([pa.array(some)], names=["_text"])
+    sent = list(jaccard._dealt_bits(2, 80, 5)(iter([batch(texts[:40]), batch(texts[40:])])))
+    found: dict[int, int] = {}
+    for part in range(5):
+        for b in jaccard._counter(20)(iter([x.slice(part, 1) for x in sent])):
+            found |= dict(zip(*(x.to_pylist() for x in b.columns)))
+    counts: dict[int, int] = {}
+    for _, s in shingle_sets(pa.array(texts), 2):
+        for token in jaccard.low_bits(s[: jaccard.prefix_size(len(s), 80)]).tolist():
+            counts[token] = counts.get(token, 0) + 1
+    assert found == {t: c for t, c in counts.items() if c > 20} and found
