@@ -237,3 +237,13 @@ def test_frequent_tokens_are_counted_over_all_rows():
         for token in jaccard.low_bits(s[: jaccard.prefix_size(len(s), 80)]).tolist():
             counts[token] = counts.get(token, 0) + 1
     assert found == {t: c for t, c in counts.items() if c > 20} and found
+
+
+def test_texts_of_a_family_of_thousands_are_sent_once(spark, monkeypatch):
+    written, write = {}, jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df, name: written.setdefault(name, write(df, name)))
+    words = " ".join(f"w{i}" for i in range(60))
+    got = jaccard.linked(frame(spark, [(i, f"{words} t{i}") for i in range(2100)])).collect()
+    assert {r["component_id"] for r in got} == {0}
+    assert written["family-sizes"].agg({"blocks": "max"}).first()[0] == 1
+    assert "low" not in written["sets"].columns
