@@ -1,18 +1,23 @@
 """Secret scans: base patterns, and formats inferred as probabilistic automata.
 
-Labelled credentials (values that the base patterns find in a bounded sample, and a seeded set of public token
-formats) are put into one prefix tree per kind, over character classes, or the character itself at a position where
-nearly all tokens of the kind have the same one.  States whose outgoing frequencies are statistically compatible
-(Hoeffding's bound, at every depth below them) are merged, breadth first, which gives a probabilistic automaton.
+Labelled credentials (all values that the base patterns find in any row, and a seeded set of public token formats) are
+counted in one prefix tree per kind, over character classes, or the character itself at a position where nearly all
+tokens of the kind have the same one.  States whose outgoing frequencies are statistically compatible (Hoeffding's
+bound, at every depth below them) are merged, breadth first; then all tokens, whole, are read by what is left and its
+transitions are counted, which gives a probabilistic automaton.
 
 Every candidate of every text, of any length, is scored: each run of token characters, or what base spans leave of it,
 and where a run is no secret as a whole, its parts between `=` and `/`.  The score is the log-likelihood ratio of the
 best automaton against a character model of ordinary tokens.  A span of kind `format` needs a mean ratio a character of
 `MARGIN` and a ratio of the evidence that the fit sets: `EVIDENCE` at least (a token is rarely a secret to begin with),
-and `SAFETY` times what any ordinary token reaches in texts that the character model has not seen.
+and `SAFETY` times what ordinary tokens reach in texts that the character model has not seen: the ratio that at most
+one in `RARE` of them exceeds (of fewer tokens, the highest).
 
-The fit takes a bounded sample: `train_rows` rows, of which 400 values a kind (their first 200 characters) and 200,000
-ordinary tokens teach.  Scoring covers all rows and whole texts.
+The fit counts every row and whole texts, nothing is sampled: the texts are read once for the counts (labelled values;
+character trigrams of the ordinary tokens, in two halves by the text's CRC), half of them again for the evidence.  What
+the driver gets is bounded by the alphabet and the model: trigrams, characters by position, states of a tree that at
+least two and one in `RESOLUTION` of a kind's tokens reach (others are like the root: Hoeffding's test can tell no state
+of one token from it), transitions, and a histogram.  A tree tells apart the first `DEPTH` characters of a token.
 
 Defined cases: a null or empty text has no spans; base spans are always kept, format spans lie outside of them;
 equal rows give equal results; an empty table gives an empty result; other columns are ignored.
@@ -23,14 +28,16 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections import Counter, defaultdict, deque
-from collections.abc import Iterator
+import zlib
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, sample_share
+from .common import bounded_batches, materialise
 
 # The contract's patterns, in the order of kinds.  A run of 24 characters or more is what is left of
 # `[0-9a-f]+` once shorter matches are dropped, and so for AKIA.
@@ -51,6 +58,14 @@ CAPITALS = 3.0
 LITERAL_SHARE = 0.9
 #: Candidates whose result a worker remembers.
 REMEMBERED = 200_000
+#: Ordinary tokens of which one may exceed the evidence (before SAFETY).
+RARE = 100_000
+#: A state of a tree is reached by one in so many tokens of its kind at least; characters of a token in the tree.
+RESOLUTION, DEPTH = 1000, 200
+#: Bins of the evidence's histogram, by the logarithm of the ratio.
+BINS = 1024
+#: Distinct counts that a worker holds.
+HELD = 200_000
 
 #: Marks that may join a token to a base span.
 JOINTS = frozenset("+/_=.-")
@@ -107,36 +122,73 @@ def _shape(ch: str) -> str:
     return "0" if ch.isdigit() else "a" if ch.islower() else "A" if ch.isupper() else ch
 
 
-def literal_places(tokens: list[str]) -> list[str | None]:
+def counted_characters(tokens: Iterable[tuple[str, int]]) -> Counter:
+    """How often each (position, character) is, and how many tokens there are at position -1."""
+    found: Counter = Counter()
+    for token, n in tokens:
+        found[-1, ""] += n
+        for i, ch in enumerate(token[:DEPTH]):
+            found[i, ch] += n
+    return found
+
+
+def literal_places(found: Counter) -> list[str | None]:
     """The character that nearly all tokens have at a position, up to the last such position."""
-    places: list[str | None] = []
-    for i in range(max(map(len, tokens), default=0)):
-        ch, n = Counter(t[i] for t in tokens if i < len(t)).most_common(1)[0]
-        places.append(ch if n >= LITERAL_SHARE * len(tokens) and len(tokens) > 1 else None)
-    while places and places[-1] is None:
-        places.pop()
-    return places
+    total = found[-1, ""]
+    if total < 2:
+        return []
+    best = {i: ch for (i, ch), n in found.items() if i >= 0 and n >= LITERAL_SHARE * total}
+    return [best.get(i) for i in range(max(best, default=-1) + 1)]
 
 
-class Tree:
-    """A prefix tree with counts, whose states can be folded into one another."""
+def symbols_of(token: str, literals: list[str | None]) -> list[str]:
+    """Each character's class, or its literal form where the position has a literal."""
+    return ["=" + ch if i < len(literals) and literals[i] == ch else _shape(ch) for i, ch in enumerate(token)]
 
-    def __init__(self) -> None:
-        self.kids: list[dict[str, int]] = [{}]
-        self.count: list[Counter] = [Counter()]
-        self.ends = [0]
 
-    def add(self, symbols: list[str]) -> None:
-        state = 0
+_FACTOR, _WRAP = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def counted_nodes(tokens: Iterable[tuple[str, int]], literals: list[str | None]) -> Counter:
+    """How many tokens reach each node (node, parent, symbol) of the prefix tree, and end there (node, node, "").
+
+    A node is known by a 64-bit hash of its prefix; the root is 0.
+    """
+    found: Counter = Counter()
+    for token, n in tokens:
+        node, symbols = 0, symbols_of(token[:DEPTH], literals)
         for c in symbols:
-            self.count[state][c] += 1
-            if c not in self.kids[state]:
-                self.kids[state][c] = len(self.kids)
-                self.kids.append({})
-                self.count.append(Counter())
-                self.ends.append(0)
-            state = self.kids[state][c]
-        self.ends[state] += 1
+            h = (node + 1) * _FACTOR + sum(ord(x) << (16 * j) for j, x in enumerate(c))
+            h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _WRAP
+            child = (h ^ (h >> 32)) - (1 << 63)
+            found[child, node, c] += n
+            node = child
+        if len(token) <= DEPTH:
+            found[node, node, ""] += n
+    return found
+
+
+class Tree:
+    """A prefix tree with counts, whose states can be folded into one another."""
+
+    def __init__(self, nodes: dict[tuple[int, int, str], int]) -> None:
+        """nodes: as counted, without rare ones."""
+        below: dict[int, list[tuple[str, int]]] = defaultdict(list)
+        for child, node, c in nodes:
+            if c:
+                below[node].append((c, child))
+        self.kids: list[dict[str, int]] = []
+        self.count: list[Counter] = []
+        self.ends: list[int] = []
+        number, queue = {0: 0}, [0]
+        for node in queue:
+            self.ends.append(nodes.get((node, node, ""), 0))
+            self.kids.append({})
+            self.count.append(Counter())
+            for c, child in sorted(below[node]):
+                self.count[-1][c] += nodes[child, node, c]
+                self.kids[-1][c] = number[child] = len(number)
+                queue.append(child)
 
     def size(self, s: int) -> int:
         return self.ends[s] + sum(self.count[s].values())
@@ -173,41 +225,91 @@ class Tree:
                     self.kids[x][c] = child
 
 
-def infer(tokens: list[str], alpha: float = 0.05) -> Automaton:
-    """Prefix tree over symbols, merged state by state while no difference is found.
+def merged(nodes: dict[tuple[int, int, str], int], alpha: float = 0.05) -> list[dict[str, int]]:
+    """For each state, the next state by symbol: the prefix tree, merged state by state while no difference is found.
 
-    Classes (digit, lower, upper, or the mark itself) keep the tree small; a class's mass is spread over the characters
-    seen in it in the training tokens.  The states still open are looked up anew after every fold, as a fold can hang
-    children on states that are settled; so no transition is lost.
+    Classes (digit, lower, upper, or the mark itself) keep the tree small.  The states still open are looked up anew after
+    every fold, as a fold can hang children on states that are settled; so no transition is lost.
     """
-    literals, tree = literal_places(tokens), Tree()
-    seen: dict[str, set[str]] = defaultdict(set)
-    for token in tokens:
-        symbols = []
-        for i, ch in enumerate(token):
-            literal = i < len(literals) and literals[i] == ch
-            symbols.append("=" + ch if literal else _shape(ch))
-            seen[symbols[-1]].add("=" + ch if literal else ch)
-        tree.add(symbols)
+    tree = Tree(nodes)
     settled = {0: 0}  # state to number, in order
     while True:
         open_ = ((s, c, k) for s in settled for c, k in sorted(tree.kids[s].items()) if k not in settled)
         parent, symbol, state = next(open_, (None, None, None))
         if state is None:
-            break
+            return [{c: settled[k] for c, k in tree.kids[s].items()} for s in settled]
         like = next((s for s in settled if tree.compatible(s, state, alpha)), None)
         if like is None:
             settled[state] = len(settled)
         else:
             tree.kids[parent][symbol] = like
             tree.fold(like, state)
-    steps = []
-    for s in settled:
-        total = tree.size(s) + 1.0
-        steps.append({ch: (settled[k], math.log(tree.count[s][c] / total / len(seen[c]))) for c, k in tree.kids[s].items() for ch in seen[c]})
+
+
+def counted_steps(tokens: Iterable[tuple[str, int]], literals: list[str | None], states: list[dict[str, int]]) -> Counter:
+    """How often whole tokens take each (state, symbol), how often they end (state, ""), and (-1, "symbol character") is seen.
+
+    A symbol without a transition leads to the root, as rare states are like it.
+    """
+    found: Counter = Counter()
+    for token, n in tokens:
+        state = 0
+        for ch, c in zip(token, symbols_of(token, literals)):
+            found[state, c] += n
+            found[-1, c + " " + ch] += n
+            state = states[state].get(c, 0)
+        found[state, ""] += n
+    return found
+
+
+def automaton(literals: list[str | None], states: list[dict[str, int]], found: dict[tuple[int, str], int]) -> Automaton:
+    """A class's mass is spread over the characters seen in it."""
+    seen: dict[str, list[str]] = defaultdict(list)
+    for at, c in sorted(found):
+        if at < 0:
+            symbol, ch = c.split(" ")
+            seen[symbol].append(symbol if len(symbol) > 1 else ch)
+    size: Counter = Counter()
+    for (at, _), n in found.items():
+        size[at] += n
+    steps: list[dict[str, tuple[int, float]]] = [{} for _ in states]
+    for (at, c), n in sorted(found.items()):
+        if at >= 0 and c:
+            steps[at].update((ch, (states[at].get(c, 0), math.log(n / (size[at] + 1.0) / len(seen[c])))) for ch in seen[c])
     return Automaton(steps, literals, math.log(1e-4))
 
 
+def frequent(nodes: dict[tuple[int, int, str], int], total: int) -> dict[tuple[int, int, str], int]:
+    """The nodes that two tokens and one in RESOLUTION reach, with the ends at them."""
+    kept = {k: n for k, n in nodes.items() if k[2] and n >= max(2, total / RESOLUTION)}
+    here = {0, *(k[0] for k in kept)}
+    return kept | {k: n for k, n in nodes.items() if not k[2] and k[0] in here}
+
+
+def infer(tokens: list[str]) -> Automaton:
+    counted = list(Counter(tokens).items())
+    literals = literal_places(counted_characters(counted))
+    states = merged(frequent(counted_nodes(counted, literals), len(tokens)))
+    return automaton(literals, states, counted_steps(counted, literals, states))
+
+
+#: What stands before a token in the trigrams.
+START = "\x02\x02"
+_SIGNS = "\x02" + "".join(ch for ch in map(chr, range(128)) if _CANDIDATE.match(ch))
+_SIGN = np.zeros(128, np.int64)
+_SIGN[[ord(ch) for ch in _SIGNS]] = np.arange(len(_SIGNS))
+
+
+def counted_trigrams(tokens: dict[str, int]) -> np.ndarray:
+    """How often each trigram of _SIGNS is in the tokens, START before each."""
+    k, words = len(_SIGNS), list(tokens)
+    at = _SIGN[np.frombuffer((START + START.join(words) + START).encode("ascii"), np.uint8)]
+    times = np.repeat(np.fromiter(tokens.values(), np.int64, len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 2)
+    gram = (at[:-2] * k + at[1:-1]) * k + at[2:]
+    inside = at[2:] > 0
+    return np.bincount(gram[inside], times[inside], k**3).astype(np.int64)
+
+
 def _mixed(run: str) -> bool:
     return any(map(str.isdigit, run)) and any(map(str.isalpha, run))
 
@@ -215,17 +317,21 @@ def _mixed(run: str) -> bool:
 class Ordinary:
     """Character-trigram model of ordinary tokens, with back-off to pairs and single characters."""
 
-    def __init__(self, tokens: list[str]):
-        self.n3: Counter = Counter()
-        self.n2: Counter = Counter()
-        self.n1: Counter = Counter()
-        self.total = 1
+    def __init__(self, tokens: Iterable[str] = (), grams: dict[str, int] | None = None):
+        """Tokens, and counted trigrams of others; pairs and characters follow from the trigrams."""
+        self.n3: Counter = Counter(grams or {})
         for t in tokens:
-            t = "\x02\x02" + t
+            t = START + t
             self.n3.update(t[i : i + 3] for i in range(len(t) - 2))
-            self.n2.update(t[i : i + 2] for i in range(len(t) - 1))
-            self.n1.update(t)
-            self.total += len(t)
+        self.n2: Counter = Counter()
+        for g, n in self.n3.items():
+            self.n2[g[1:]] += n
+        firsts = sum(n for g, n in self.n3.items() if g[:2] == START)
+        self.n2[START] += firsts
+        self.n1: Counter = Counter({START[0]: firsts} if firsts else {})
+        for g, n in self.n2.items():
+            self.n1[g[1]] += n
+        self.total = 1 + sum(self.n1.values())
         self.memo: dict[str, float] = {}
 
     def score(self, token: str) -> float:
@@ -342,35 +448,192 @@ def plain_tokens(count: int = 4000, seed: int = 6) -> list[str]:
     return [rnd.choice(makers)() for _ in range(count)]
 
 
-def train(texts: list[str | None], most: int = 400, common_tokens: int = 200_000) -> FormatModel:
-    """texts: a bounded sample.  Every other text serves to set the evidence, then all teach the ordinary tokens."""
-    labelled = public_formats()
-    ordinary: tuple[list[str], list[str]] = ([], [])
-    for n, text in enumerate(texts):
-        text = text or ""
+def half_of(text: str) -> int:
+    return zlib.crc32(text.encode()) & 1
+
+
+def ordinary_tokens(text: str, base: list[Span]) -> Iterator[str]:
+    """Tokens that meet no base span; letters and digits mixed in one long run may be credentials without a label."""
+    if base:
+        found = [text[a:b] for a, b in clear_runs(text, base)]
+    else:
+        found = _CANDIDATE.findall(text)
+    for t in found:
+        t = t.rstrip(".")
+        if t and not (len(t) >= 12 and any(_mixed(run) for run in _RUN.findall(t))):
+            yield t
+
+
+def clear_runs(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """The candidates that overlap no base span, in one sweep."""
+    taken, i, reach = sorted((a, b) for a, b, _ in base), 0, 0
+    for m in _CANDIDATE.finditer(text):
+        while i < len(taken) and taken[i][0] < m.end():
+            reach, i = max(reach, taken[i][1]), i + 1
+        if reach <= m.start():
+            yield m.span()
+
+
+def gathered(texts: Iterable[tuple[str, int]]) -> Iterator[Counter]:
+    """(kind, token) of labelled values and (half, trigram) of ordinary tokens, counted; texts come with their half."""
+    labelled: Counter = Counter()
+    tokens: tuple[Counter, Counter] = (Counter(), Counter())
+    grams = np.zeros((2, len(_SIGNS) ** 3), np.int64)
+
+    def settle(half: int) -> None:
+        if tokens[half]:
+            grams[half] += counted_trigrams(tokens[half])
+            tokens[half].clear()
+
+    for text, half in texts:
         base = base_spans(text)
         for a, b, kind in base:
             m = _ASSIGN.match(text, a, b) if kind == "assign" else None
-            kept = labelled.setdefault(kind, [])
             token = m.group(2) if m else text[a:b]
-            if len(kept) < most and len(token) >= LABELLED_MIN:
-                kept.append(token[:200])
-        if len(ordinary[n % 2]) < common_tokens // 2:
-            tokens = (m.group().rstrip(".") for m in _CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < b for a, b, _ in base))
-            # letters and digits mixed in one long run may be credentials that no label names: they teach nothing
-            ordinary[n % 2].extend(t for t in tokens if t and not any(_mixed(run) for run in _RUN.findall(t)))
-    automata = [infer(t) for t in labelled.values() if t]
+            if len(token) >= LABELLED_MIN:
+                labelled[kind, token] += 1
+        tokens[half].update(ordinary_tokens(text, base))
+        if len(tokens[half]) >= HELD:
+            settle(half)
+        if len(labelled) >= HELD:
+            yield labelled
+            labelled = Counter()
+    for half in (0, 1):
+        settle(half)
+        for g in np.flatnonzero(grams[half]).tolist():
+            k = len(_SIGNS)
+            labelled[str(half), _SIGNS[g // k // k] + _SIGNS[g // k % k] + _SIGNS[g % k]] += int(grams[half][g])
+    yield labelled
+
+
+def high_ratios(texts: Iterable[str], model: FormatModel) -> Counter:
+    """How many ordinary tokens have a ratio in each bin, of ratios that may raise the evidence."""
+    found: Counter = Counter()
+    known: dict[str, int | None] = {}
+    least = EVIDENCE / SAFETY
+    for text in texts:
+        for token in ordinary_tokens(text, base_spans(text)):
+            if token not in known:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                ratio = model.ratio(token, least)
+                known[token] = math.ceil(math.log(ratio) * BINS) if ratio >= least else None
+            if known[token] is not None:
+                found[known[token]] += 1
+    return found
+
+
+def evidence_of(found: dict[int, int], tokens: int) -> float:
+    """SAFETY times the ratio that one in RARE tokens exceeds at most, EVIDENCE at least."""
+    above = 0
+    for at in sorted(found, reverse=True):
+        above += found[at]
+        if above > tokens // RARE:
+            return max(EVIDENCE, SAFETY * math.exp(at / BINS))
+    return EVIDENCE
+
+
+def fitted(automata: list[Automaton], grams: tuple[dict[str, int], dict[str, int]], high: Callable[[FormatModel, int], dict[int, int]]) -> FormatModel:
+    """The half with more tokens teaches, the other (given to `high`) sets the evidence; then both teach."""
     made = plain_tokens()
-    half = FormatModel(automata, Ordinary(ordinary[0] + made), EVIDENCE)
-    highest = max((half.ratio(t) for t in set(ordinary[1])), default=0.0)
-    return FormatModel(automata, Ordinary(ordinary[0] + ordinary[1] + made), max(EVIDENCE, SAFETY * highest))
-
+    tokens = [sum(n for g, n in half.items() if g[:2] == START) for half in grams]
+    other = 0 if tokens[1] > tokens[0] else 1
+    evidence = EVIDENCE
+    if tokens[other]:
+        evidence = evidence_of(high(FormatModel(automata, Ordinary(made, grams[1 - other]), EVIDENCE), other), tokens[other])
+    return FormatModel(automata, Ordinary(made, Counter(grams[0]) + Counter(grams[1])), evidence)
+
+
+def public_automata() -> list[Automaton]:
+    return [infer(t) for t in public_formats().values()]
+
+
+def train(texts: list[str | None]) -> FormatModel:
+    """The model of texts at hand, as `learn` fits it to a table."""
+    whole = [(t, half_of(t)) for t in texts if t]
+    counted: Counter = Counter()
+    for part in gathered(whole):
+        counted += part
+    automata = public_automata()
+    for kind in KINDS[:3]:
+        tokens = [(t, n) for (k, t), n in counted.items() if k == kind]
+        if tokens:
+            literals = literal_places(counted_characters(tokens))
+            states = merged(frequent(counted_nodes(tokens, literals), sum(n for _, n in tokens)))
+            automata.append(automaton(literals, states, counted_steps(tokens, literals, states)))
+    grams = tuple({t: n for (k, t), n in counted.items() if k == str(half)} for half in (0, 1))
+    return fitted(automata, grams, lambda model, half: high_ratios((t for t, h in whole if h == half), model))
+
+
+def _by_kind(tokens: DataFrame, count: Callable[[str, list[tuple[str, int]]], Counter], fields: str) -> DataFrame:
+    """`count` over all (kind, token, n) in pieces, summed: kind, the fields of its keys, and n."""
+    names = [f.split()[0] for f in fields.split(", ")]
+    types = [pa.int64() if f.endswith("long") else pa.string() for f in fields.split(", ")]
 
-def scan(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, spans array of (start, end, kind)) of every row, formats learned from about train_rows of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, words, times = (c.to_pylist() for c in batch.columns)
+            for kind in sorted(set(kinds)):
+                found = count(kind, [(t, n) for k, t, n in zip(kinds, words, times) if k == kind])
+                keys = list(zip(*found)) or [()] * len(names)
+                columns = [pa.array([kind] * len(found)), *map(pa.array, keys, types), pa.array(list(found.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["kind", *names, "n"])
+
+    return tokens.mapInArrow(run, f"kind string, {fields}, n long").groupBy("kind", *names).agg(F.sum("n").alias("n"))
+
+
+def _collected(found: DataFrame) -> dict[str, Counter]:
+    out: dict[str, Counter] = defaultdict(Counter)
+    for row in found.toArrow().to_pylist():
+        kind, *key, n = row.values()
+        out[kind][tuple(key)] = n
+    return out
+
+
+def learn(docs: DataFrame, text_col: str) -> FormatModel:
+    """The model of all rows, in passes that bring only counts to the driver; it depends on no order, id or partition."""
+    texts = docs.select(F.col(text_col).alias("t")).filter("t <> ''").withColumn("half", F.crc32(F.col("t").cast("binary")) % 2)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in gathered((t.as_py(), h.as_py()) for batch in batches for t, h in zip(*batch.columns)):
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in part], pa.string()), pa.array([t for _, t in part], pa.string()), pa.array(list(part.values()), pa.int64())], names=["kind", "token", "n"])
+
+    counted = texts.mapInArrow(gather, "kind string, token string, n long").groupBy("kind", "token").agg(F.sum("n").alias("n"))
+    counted = materialise(counted, "credential-counts")
+    halves: tuple[dict[str, int], dict[str, int]] = ({}, {})
+    for row in counted.filter(F.col("kind").isin("0", "1")).toArrow().to_pylist():
+        halves[int(row["kind"])][row["token"]] = row["n"]
+    tokens = counted.filter(F.col("kind").isin(*KINDS[:3]))
+    chars = _collected(_by_kind(tokens, lambda _, t: counted_characters(t), "at long, ch string"))
+    places = {k: literal_places(c) for k, c in chars.items()}
+    automata = public_automata()
+    if places:
+        sizes = {k: c[-1, ""] for k, c in chars.items()}
+        least = F.create_map(*[F.lit(x) for k in sizes for x in (k, max(2.0, sizes[k] / RESOLUTION))])
+        nodes = _by_kind(tokens, lambda k, t: counted_nodes(t, places[k]), "node long, parent long, symbol string")
+        nodes = materialise(nodes, "credential-nodes")
+        often = nodes.filter((F.col("symbol") != "") & (F.col("n") >= least[F.col("kind")]))
+        ends = nodes.filter("symbol = ''").join(often.select("kind", "node").union(often.selectExpr("kind", "0L").distinct()), ["kind", "node"], "left_semi")
+        trees = _collected(often.unionByName(ends))
+        states = {k: merged(frequent(trees.get(k, {}), n)) for k, n in sizes.items()}
+        taken = _collected(_by_kind(tokens, lambda k, t: counted_steps(t, places[k], states[k]), "state long, symbol string"))
+        automata += [automaton(places[k], states[k], taken[k]) for k in KINDS if k in sizes]
+
+    def high(model: FormatModel, half: int) -> dict[int, int]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = high_ratios((t.as_py() for batch in batches for t in batch.column(0)), model)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["at", "n"])
+
+        found = texts.filter(F.col("half") == half).select("t").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+        return {r["at"]: r["n"] for r in found.collect()}
+
+    return fitted(automata, halves, high)
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, spans array of (start, end, kind)) of every row, formats learned from all of them."""
     bounded_batches(docs.sparkSession)
-    sample = sample_share(docs.select(id_col, text_col), id_col, train_rows).select(text_col).toArrow()
-    model = train(sample.column(0).to_pylist())
+    model = learn(docs, text_col)
     kind = dict(docs.dtypes)[id_col]
     field = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
 
@@ -389,9 +652,9 @@ def scan(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text_c
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, `{text_col}` string, spans array<struct<start: long, end: long, kind: string>>")
 
 
-def digest(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_assign, n_access, n_hex, base_sha256, spans): the scan's spans as counts and text."""
-    found = scan(docs, train_rows, id_col, text_col)
+    found = scan(docs, id_col, text_col)
     base = F.filter("spans", lambda s: s["kind"] != "format")
 
     def written(spans):
@@ -404,11 +667,10 @@ def digest(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text
     return found.select(id_col, *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """The same columns, each found span replaced by `mark` and the character count (where there is one) brought up to date."""
     bounded_batches(docs.sparkSession)
-    sample = sample_share(docs.select(id_col, text_col), id_col, train_rows).select(text_col).toArrow()
-    model = train(sample.column(0).to_pylist())
+    model = learn(docs, text_col)
     names = docs.columns
     at, count_at = names.index(text_col), names.index(chars_col) if chars_col in names else -1
 
