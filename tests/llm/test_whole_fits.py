@@ -7,7 +7,9 @@ from collections import Counter
 
 import pytest
 
-from fiscora.llm import credential_scan
+from pyspark.sql import functions as F
+
+from fiscora.llm import credential_scan, langid
 from fiscora.llm.common import sample_share
 
 from .corpus import frame
@@ -68,3 +70,29 @@ def test_evidence_is_what_one_in_many_tokens_exceeds():
     assert credential_scan.evidence_of(ratios, 50) == pytest.approx(credential_scan.SAFETY * 2.718281828**5, rel=1e-3)
     assert credential_scan.evidence_of(ratios, credential_scan.RARE) == pytest.approx(credential_scan.SAFETY * 2.718281828**4.5, rel=1e-3)
     assert credential_scan.evidence_of(ratios, 4 * credential_scan.RARE) == credential_scan.EVIDENCE == credential_scan.evidence_of({}, 0)
+
+
+def labelled(n):
+    """Rows of two languages with the same letters; each word tells its language, and most are in one row alone."""
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("aeionrst") for _ in range(7))
+    return [(i, f"{word()} {word()} {word()}", ("aa", "bb")[i % 2]) for i in range(n)]
+
+
+def test_words_of_every_labelled_row_are_known(spark):
+    """What only one row of 3,000 teaches is known afterwards: its words tell the language of their own text."""
+    rows = labelled(3000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, F.lit(True)).collect()}
+    assert sum(got[i] == y for i, _, y in rows) >= 0.97 * len(rows)
+
+
+def test_language_model_of_a_table_equals_that_of_its_texts(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BUCKET", 700)
+    rows = labelled(600) + [(700, None, "aa"), (701, "12", "cc"), (702, "été İx ΣΣ", "bb"), (None, "x" * 5000, "aa")]
+    want = langid.train([(t, y) for _, t, y in rows if t is not None])
+    random.Random(8).shuffle(rows)
+    for parts in (1, 6):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts)
+        got = langid.learn(docs, F.lit(True), 400, "text", "lang")
+        assert got.labels == want.labels == ["aa", "bb"] and (got.weights == want.weights).all() and (got.trans == want.trans).all()
